@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.session import settled
+
 _PER_BUCKET = 32  # sampled tuples per bucket
 
 
@@ -86,6 +88,7 @@ def rows_at_ranks(
     `weight` (default 1) is the number of positions a row covers. Returns one
     row per requested position: `rank_no` (index in the array), `position`, `n`
     and the columns of `df`. Only buckets that hold a position are sorted.
+    `df` is read several times: pass a stored or settled frame.
     """
     columns = df.columns
     rows = bucketed(df.withColumn("_w", weight if weight is not None else F.lit(1).cast("long")),
@@ -116,6 +119,7 @@ def with_ntile(df: DataFrame, name: str, tiles: int, order: list[Column]) -> Dat
 
     Finds the last row of each tile but the final one, then compares every row
     with those few tuples. The frame itself is not shuffled or sorted.
+    `df` is read several times: pass a stored or settled frame.
     """
     def ends(n: Column) -> Column:
         q = F.floor(n / tiles)
@@ -139,6 +143,7 @@ def with_ntile(df: DataFrame, name: str, tiles: int, order: list[Column]) -> Dat
 
 def with_running(df: DataFrame, order: list[Column], measure: Column) -> DataFrame:
     """Adds `position`, `n`, `running` and `total` of `measure` in a global order."""
+    df = settled(df)
     rows = bucketed(df.withColumn("_m", measure), order)
     totals = _totals(rows, {"w": F.lit(1).cast("long"), "m": F.col("_m")})
     upto = Window.partitionBy("_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
@@ -173,7 +178,8 @@ def quantiles(df: DataFrame, column: Column, probabilities: dict[str, float]) ->
             spots += [F.floor(at) + 1, F.ceil(at) + 1]
         return F.array(*[s.cast("long") for s in spots])
 
-    hits = rows_at_ranks(value_counts(df, column), [F.col("value")], around, F.col("weight"))
+    counts = settled(value_counts(df, column))
+    hits = rows_at_ranks(counts, [F.col("value")], around, F.col("weight"))
 
     def pick(i: int) -> Column:
         return F.max(F.when(F.col("rank_no") == i, F.col("value").cast("double")))

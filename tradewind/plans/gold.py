@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import columns as C
 from tradewind.operators import modes, rank
+from tradewind.session import settled
 from tradewind.sources.readers import day_spine
 
 _COORD = "decimal(20,12)"
@@ -314,6 +315,7 @@ def segment(r: Column, orders: Column, m: Column) -> Column:
 
 def customer_rfm(metrics: DataFrame) -> DataFrame:
     """Quintile scores and segments. Ties are broken by the person's id."""
+    metrics = settled(metrics, "customer-metrics")
     person = F.col("customer_unique_id")
     scored = rank.with_ntile(metrics, "r_score", 5, [-F.col("recency_days"), person])
     scored = rank.with_ntile(scored, "m_score", 5, [F.col("monetary_gmv"), person])

@@ -48,14 +48,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def checkpointed(df):
-    """Cut the lineage of `df` through the shared checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, for one written table."""
     return f"{checkpoint_root(spark).rstrip('/')}/tradewind/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df, name: str = "settled"):
+    """Write `df` once below the shared folder and return a scan of it.
+
+    For a frame that several passes read: it cuts the lineage, survives lost
+    executors and keeps column pruning.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
