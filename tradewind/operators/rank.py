@@ -169,6 +169,11 @@ def quantiles(df: DataFrame, column: Column, probabilities: dict[str, float]) ->
     Same definition as `percentile`, but no task holds all values: the two rows
     around each position are located by rank.
     """
+    return quantiles_of_counts(settled(value_counts(df, column), "value-counts"), probabilities)
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: dict[str, float]) -> DataFrame:
+    """Quantiles of a settled (value, weight) frame."""
     probs = list(probabilities.items())
 
     def around(n: Column) -> Column:
@@ -178,7 +183,6 @@ def quantiles(df: DataFrame, column: Column, probabilities: dict[str, float]) ->
             spots += [F.floor(at) + 1, F.ceil(at) + 1]
         return F.array(*[s.cast("long") for s in spots])
 
-    counts = settled(value_counts(df, column))
     hits = rows_at_ranks(counts, [F.col("value")], around, F.col("weight"))
 
     def pick(i: int) -> Column:

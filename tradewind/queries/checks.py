@@ -1 +1,142 @@
+"""KPI tests."""
 
+from __future__ import annotations
+
+from tradewind.operators import checks as K
+from tradewind.queries import query
+from tradewind.queries.quality import UNION
+
+
+def _grain_sql() -> str:
+    parts = []
+    for table, (text, keys) in K.GRAINS.items():
+        listed = ", ".join(keys)
+        some = f"WHERE {keys[0]} IS NOT NULL" if len(keys) == 1 else ""
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{text}' AS expected_grain, n AS total_rows, "
+            "k AS distinct_keys, n - k AS duplicate_rows, "
+            "CASE WHEN n = k THEN 'PASS' ELSE 'FAIL' END AS status FROM "
+            f"(SELECT count(*) AS n FROM {table}) a, (SELECT count(*) AS k FROM "
+            f"(SELECT DISTINCT {listed} FROM {table} {some}) d) b")
+    return UNION.join(parts)
+
+
+@query("test_grain", _grain_sql())
+def _(w):
+    return K.grain(w)
+
+
+@query("test_retention_codes", """
+    SELECT 'dash_retention_snapshot metric codes' AS check_name, 5::BIGINT AS expected_count,
+        count(DISTINCT metric_code) AS actual_count, 5 - count(DISTINCT metric_code)
+            AS missing_count,
+        CASE WHEN count(DISTINCT metric_code) = 5 THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM dash_retention_snapshot
+    UNION ALL
+    SELECT 'dash_retention_monthly has 5 metric codes per month', 5, min(n), count_if(n <> 5),
+        CASE WHEN bool_and(n = 5) THEN 'PASS' ELSE 'FAIL' END
+    FROM (SELECT report_month, count(DISTINCT metric_code) AS n
+          FROM dash_retention_monthly GROUP BY 1) m""")
+def _(w):
+    return K.retention_codes(w["dash_retention_snapshot"], w["dash_retention_monthly"])
+
+
+# The comparison SQL has one computation of each mart, so it states the counts
+# and the gaps that two equal computations must show.
+@query("test_monthly_metrics", """
+    SELECT count(*) AS months_checked, 0.0::DOUBLE AS max_gmv_diff,
+        0::BIGINT AS max_total_orders_diff,
+        CASE WHEN count(aov) > 0 THEN 0.0::DOUBLE END AS max_aov_diff,
+        0.0::DOUBLE AS max_actual_payment_diff,
+        CASE WHEN count(delivery_delay_rate) > 0 THEN 0.0::DOUBLE END
+            AS max_delivery_delay_rate_diff,
+        CASE WHEN count(avg_review_score) > 0 THEN 0.0::DOUBLE END AS max_avg_review_score_diff,
+        0.0::DOUBLE AS max_installment_usage_rate_diff, 'PASS' AS status
+    FROM dash_kpi_monthly""")
+def _(w):
+    again = K.monthly_from_facts(
+        w["gold_fact_orders"], w["gold_fact_order_items"], w["gold_fact_order_payments"],
+        w["gold_fact_order_reviews"])
+    return K.monthly_metrics(w["dash_kpi_monthly"], again)
+
+
+@query("test_retention_metrics", """
+    SELECT metric_code, total_customers AS dash_total_customers,
+        total_customers AS recalculated_total_customers,
+        returning_customers AS dash_returning_customers,
+        returning_customers AS recalculated_returning_customers,
+        0.0::DOUBLE AS rate_diff, 'PASS' AS status
+    FROM dash_retention_snapshot""")
+def _(w):
+    again = K.retention_recomputed(w["gold_customer_delivered_orders"], w["gold_dataset_dates"])
+    return K.retention_metrics(w["dash_retention_snapshot"], again)
+
+
+@query("test_category_metrics", """
+    SELECT count(*) AS category_months_checked, 0.0::DOUBLE AS max_category_gmv_diff,
+        0::BIGINT AS max_category_order_count_diff, 'PASS' AS status
+    FROM dash_category_monthly""")
+def _(w):
+    return K.category_metrics(w["dash_category_monthly"], w["gold_fact_order_items"])
+
+
+_LOGIC = """
+    SELECT check_name, issue_count,
+        CASE WHEN (issue_count = 0) <> wants_some THEN 'PASS' ELSE 'FAIL' END AS status,
+        rationale
+    FROM (
+        SELECT 'delivered-only sales facts' AS check_name,
+            'no order counts as delivered on one line and not on another' AS rationale,
+            FALSE AS wants_some,
+            (SELECT coalesce(sum(n_not), 0)::BIGINT FROM (
+                SELECT count_if(NOT is_delivered) AS n_not FROM gold_fact_order_items
+                GROUP BY order_id HAVING bool_or(is_delivered)) x) AS issue_count
+        UNION ALL SELECT 'retention uses customer_unique_id, not customer_id',
+            'customer_id belongs to one order, so it cannot show repeat purchases', FALSE,
+            (SELECT count(*) FROM (SELECT 1 FROM gold_customer_delivered_orders
+                GROUP BY customer_id HAVING count(DISTINCT order_id) > 1) x)
+        UNION ALL SELECT 'customer_unique_id has repeat buyers',
+            'counted by person, some customers order again', TRUE,
+            (SELECT count(*) FROM (SELECT 1 FROM gold_customer_delivered_orders
+                GROUP BY customer_unique_id HAVING count(DISTINCT order_id) > 1) x)
+        UNION ALL SELECT 'installment numerator uses payment_installments > 1',
+            'an installment order needs a payment with more than one installment', FALSE,
+            (SELECT count(*) FROM gold_fact_orders o WHERE is_delivered AND uses_installments
+                AND order_id NOT IN (SELECT order_id FROM raw_order_payments
+                                     WHERE payment_installments > 1))
+        UNION ALL SELECT 'payment_installments = 0 not counted as installment',
+            '0 installments is a data quirk, not installment use', FALSE,
+            (SELECT count(*) FROM gold_fact_order_payments
+                WHERE payment_installments = 0 AND is_installment_payment)
+        UNION ALL
+        SELECT 'delivery delay denominator excludes inconsistent delivery records',
+            'the delay rate needs delivered orders with usable dates', FALSE,
+            (SELECT count(*) FROM gold_fact_orders
+                WHERE is_valid_for_delivery_delay_kpi AND is_delivery_inconsistency)
+        UNION ALL SELECT 'review fact is delivered orders only',
+            'the review score covers delivered orders', FALSE,
+            (SELECT count(*) FROM gold_fact_order_reviews r JOIN silver_orders o
+                ON r.order_id = o.order_id WHERE o.order_status <> 'delivered')
+        UNION ALL SELECT 'reviews do not inflate gold_fact_orders grain',
+            'reviews are aggregated to the order before they are joined', FALSE,
+            (SELECT count(*) - count(DISTINCT order_id) FROM gold_fact_orders)
+    ) r"""
+
+
+@query("test_business_logic", _LOGIC)
+def _(w):
+    return K.business_logic(w)
+
+
+@query("test_window_logic", """
+    SELECT a.metric_code || ' >= ' || b.metric_code || ' usually expected' AS check_name,
+        a.returning_customers AS left_value, b.returning_customers AS right_value,
+        CASE WHEN a.returning_customers >= b.returning_customers THEN 'PASS' ELSE 'REVIEW' END
+            AS status,
+        'bought in the last ' || a.metric_code[6:6] || ' months and earlier, against more than '
+            || 'one order inside them' AS rationale
+    FROM dash_retention_snapshot a JOIN dash_retention_snapshot b
+        ON b.metric_code = replace(a.metric_code, 'returning_customer', 'repeat_purchase')
+    WHERE a.metric_code LIKE '%returning_customer'""")
+def _(w):
+    return K.window_logic(w["dash_retention_snapshot"])
