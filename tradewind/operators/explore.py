@@ -86,6 +86,19 @@ def describe_orders(fact_orders: DataFrame) -> DataFrame:
     return union([categorical("order_status"), categorical("is_delivered"), times])
 
 
+def describe_amount(df: DataFrame, column: str) -> DataFrame:
+    """Count, distinct values, mean, deviation, quartiles and range of an amount."""
+    value = F.col(column)
+    whole = df.agg(
+        F.count(value).alias("count"), F.countDistinct(value).alias("unique"),
+        (F.sum(value).cast("double") / F.count(value)).alias("mean"),
+        F.round(F.stddev_samp(value.cast("double")), 3).alias("std"),
+        F.min(value).alias("min"), F.max(value).alias("max"))
+    spots = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    # Both sides are one row.
+    return whole.crossJoin(F.broadcast(rank.quantiles(df, value, spots)))
+
+
 def orders_per_customer(delivered: DataFrame) -> DataFrame:
     return delivered.groupBy("customer_unique_id").agg(
         F.countDistinct("order_id").alias("delivered_orders"))

@@ -1 +1,121 @@
+"""Readers and sinks: tables are written below the session's shared folder and
+read back with their declared schemas."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tradewind import schema
+from tradewind.operators.quality import ORDER_STATUSES, union
+from tradewind.queries import query
+from tradewind.session import scratch_path
+from tradewind.sources import readers, sinks
+
+
+@query("src_csv_typed", """
+    SELECT review_id::VARCHAR AS review_id, order_id::VARCHAR AS order_id,
+        * EXCLUDE (review_id, order_id) FROM raw_order_reviews""")
+def _(w):
+    path = sinks.csv_export(w["raw_order_reviews"], scratch_path(w.spark, "reviews-csv"))
+    return readers.raw_csv(w.spark, "raw_order_reviews", path)
+
+
+@query("src_csv_ml_outputs", """
+    SELECT order_date, orders::DOUBLE AS orders, gmv::DOUBLE AS gmv,
+        unique_customers::DOUBLE AS unique_customers FROM ml_daily_business_metrics""")
+def _(w):
+    from tradewind.forecast.features import daily_metrics
+
+    path = sinks.csv_export(
+        daily_metrics(w["gold_fact_orders"]), scratch_path(w.spark, "daily-csv"))
+    return readers.ml_csv(w.spark, "ml_daily_business_metrics", path)
+
+
+@query("src_table_scan", """
+    SELECT order_id, order_purchase_date, order_gmv FROM gold_fact_orders
+    WHERE is_delivered ORDER BY order_purchase_date, order_id""", "order_gmv")
+def _(w):
+    path = scratch_path(w.spark, "fact-orders")
+    sinks.overwrite(w["gold_fact_orders"], path, "order_purchase_month", "order_id")
+    return (
+        readers.table_scan(
+            w.spark, path, "order_id", "order_purchase_date", "order_gmv", "is_delivered")
+        .filter("is_delivered").drop("is_delivered")
+        .orderBy("order_purchase_date", "order_id"))
+
+
+@query("src_values", "SELECT e.order_status, count(order_id) AS orders FROM (VALUES "
+       + ", ".join(f"('{s}')" for s in ORDER_STATUSES)
+       + ") AS e(order_status) LEFT JOIN raw_orders o ON o.order_status = e.order_status "
+       "GROUP BY 1")
+def _(w):
+    wanted = readers.values(w.spark, "order_status string", [(s,) for s in ORDER_STATUSES])
+    found = w["raw_orders"].groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"))
+    return wanted.join(found, "order_status", "left").fillna(0, ["orders"])
+
+
+@query("src_date_spine", """
+    SELECT order_status, unnest(generate_series(min(order_purchase_timestamp)::DATE,
+        max(order_purchase_timestamp)::DATE, INTERVAL 1 DAY))::DATE AS day
+    FROM raw_orders GROUP BY order_status""")
+def _(w):
+    day = F.col("order_purchase_timestamp").cast("date")
+    bounds = w["raw_orders"].groupBy("order_status").agg(
+        F.min(day).alias("lo"), F.max(day).alias("hi"))
+    return readers.day_spine(bounds, "lo", "hi", "day", "order_status")
+
+
+@query("src_json_landing", """
+    SELECT order_id::VARCHAR AS order_id, payment_sequential, payment_type,
+        payment_installments, payment_value FROM raw_order_payments""", "payment_value")
+def _(w):
+    path = scratch_path(w.spark, "payments-json")
+    payments = w["raw_order_payments"]
+    payments.withColumn("order_id", F.col("order_id").cast("string")).write.json(path)
+    return readers.json_landing(w.spark, path, schema.RAW["raw_order_payments"])
+
+
+@query("sink_table_overwrite", "SELECT * FROM silver_orders")
+def _(w):
+    path = scratch_path(w.spark, "silver-orders")
+    sinks.overwrite(w["raw_orders"], path)  # replaced by the next write
+    return sinks.overwrite(w["silver_orders"], path)
+
+
+@query("sink_temp_result", """
+    SELECT 'by status' AS question, count(*) AS answer FROM
+        (SELECT DISTINCT order_status FROM silver_orders) s
+    UNION ALL SELECT 'inconsistent', count_if(is_delivery_inconsistency) FROM silver_orders""")
+def _(w):
+    sinks.temp_result(w["silver_orders"], "kept_orders")
+    n = F.count(F.lit(1)).alias("answer")
+    kept = w.spark.table("kept_orders")
+    return union([
+        kept.select("order_status").distinct().agg(n)
+        .select(F.lit("by status").alias("question"), "answer"),
+        kept.agg(F.count_if("is_delivery_inconsistency").alias("answer"))
+        .select(F.lit("inconsistent").alias("question"), "answer"),
+    ])
+
+
+@query("sink_csv_export", "SELECT * FROM dash_kpi_daily", "gmv actual_payment")
+def _(w):
+    path = sinks.csv_export(w["dash_kpi_daily"], scratch_path(w.spark, "kpi-daily-csv"))
+    return readers.csv_typed(w.spark, path, T.StructType([
+        T.StructField(f.name, f.dataType) for f in w["dash_kpi_daily"].schema.fields]))
+
+
+_KEY = ["order_id", "order_item_id"]
+
+
+@query("sink_constraint_check", """
+    SELECT c || ' NOT NULL' AS constraint_name, n AS violations FROM (
+        SELECT unnest(['order_id', 'price', 'freight_value']) AS c,
+            unnest([count_if(order_id IS NULL), count_if(price IS NULL),
+                    count_if(freight_value IS NULL)]) AS n FROM raw_order_items) x
+    UNION ALL SELECT 'PRIMARY KEY (order_id, order_item_id)',
+        count(*) - count(DISTINCT (order_id, order_item_id)) FROM raw_order_items""")
+def _(w):
+    return sinks.constraint_violations(
+        w["raw_order_items"], ["order_id", "price", "freight_value"], _KEY)

@@ -37,7 +37,9 @@ def temp_result(df: DataFrame, view: str) -> DataFrame:
 def csv_export(df: DataFrame, path: str) -> str:
     (
         df.write.mode("overwrite")
-        .options(header=True, quote='"', escape='"', emptyValue='""')
+        .options(header=True, quote='"', escape='"', emptyValue='""',
+                 timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS",
+                 timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
         .csv(path)
     )
     return path
