@@ -1 +1,189 @@
+"""Forecast pipeline. Trained results have no SQL counterpart; the series,
+features, splits and metric formulas have."""
 
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tradewind.forecast import features as X
+from tradewind.forecast import model as M
+from tradewind.forecast import recursive as R
+from tradewind.forecast.run import Forecast, Settings
+from tradewind.queries import query
+
+# A small search: the grid and the fold count are parameters of a run.
+SMALL = {"n_estimators": [20], "max_depth": [6], "min_samples_leaf": [2]}
+SEARCHED = {"n_estimators": [10, 20], "max_depth": [4, 6], "min_samples_leaf": [2]}
+
+
+def daily(w):
+    return X.daily_metrics(w["gold_fact_orders"])
+
+
+def _by_state(w):
+    places = w["raw_customers"].select("customer_id", "customer_state")
+    return X.daily_metrics(
+        w["gold_fact_orders"].join(places, "customer_id"), series="customer_state")
+
+
+def _run(w, grid=None, splits=None, source=daily) -> Forecast:
+    return Forecast(source(w), Settings(grid=grid or SMALL, splits=splits, run_id="registered"))
+
+
+_SPINE = """(SELECT 'total' AS series, d AS order_date, first_date,
+        coalesce(orders, 0) AS orders, coalesce(gmv, 0) AS gmv,
+        coalesce(unique_customers, 0) AS unique_customers
+    FROM (SELECT min(order_date) AS first_date, unnest(generate_series(min(order_date),
+            max(order_date), INTERVAL 1 DAY))::DATE AS d FROM ml_daily_business_metrics) s
+    LEFT JOIN ml_daily_business_metrics ON order_date = d)"""
+
+
+@query("ml_daily_metrics", "SELECT * FROM ml_daily_business_metrics", "gmv")
+def _(w):
+    return daily(w)
+
+
+@query("ml_daily_spine", f"SELECT * FROM {_SPINE}", "gmv")
+def _(w):
+    return X.daily_spine(daily(w))
+
+
+def _feature_sql() -> str:
+    columns = ["date_diff('day', first_date, order_date)::INT AS trend",
+               "(isodow(order_date) - 1)::INT AS day_of_week",
+               "month(order_date)::INT AS month", "quarter(order_date)::INT AS quarter",
+               "round(sin(2 * pi() * month(order_date) / 12), 9) + 0.0 AS month_sin",
+               "round(cos(2 * pi() * month(order_date) / 12), 9) + 0.0 AS month_cos"]
+    columns += [f"(lag(gmv, {n}) OVER o)::DOUBLE AS gmv_lag_{n}" for n in X.GMV_LAGS]
+    columns += [f"(sum(gmv) OVER (o ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING))::DOUBLE / {n} "
+                f"AS gmv_rolling_mean_{n}" for n in X.MEANS]
+    columns += ["round(stddev_samp(gmv::DOUBLE) OVER (o ROWS BETWEEN 3 PRECEDING AND "
+                "1 PRECEDING), 3) AS gmv_rolling_std_3"]
+    for n in X.OTHER_LAGS:
+        columns += [f"(lag(orders, {n}) OVER o)::DOUBLE AS orders_lag_{n}",
+                    f"(lag(unique_customers, {n}) OVER o)::DOUBLE AS customers_lag_{n}"]
+    return (f"SELECT series, order_date, gmv::DOUBLE AS gmv, {', '.join(columns)} "
+            f"FROM {_SPINE} s WINDOW o AS (ORDER BY order_date) "
+            "QUALIFY row_number() OVER (ORDER BY order_date) > 28")
+
+
+@query("ml_features", _feature_sql())
+def _(w):
+    rows = X.training_rows(X.add_features(X.daily_spine(daily(w))))
+
+    def shown(name: str):
+        digits = {"month_sin": 9, "month_cos": 9, "gmv_rolling_std_3": 3}.get(name)
+        c = F.col(name)
+        return (F.round(c, digits) + 0.0).alias(name) if digits else c
+
+    return rows.select("series", "order_date", "gmv", *[shown(f) for f in X.FEATURES])
+
+
+_ROWS = f"(SELECT order_date FROM {_SPINE} s QUALIFY row_number() OVER (ORDER BY order_date) > 28)"
+_START = f"""(SELECT (date_trunc('month', max(order_date)) - INTERVAL 2 MONTH)::DATE
+    FROM {_ROWS} r)"""
+
+
+@query("ml_train_test_split", f"""
+    SELECT CASE WHEN order_date < {_START} THEN 'train' ELSE 'test' END AS side,
+        min(order_date) AS first_day, max(order_date) AS last_day, count(*) AS rows
+    FROM {_ROWS} r GROUP BY 1""")
+def _(w):
+    rows = X.training_rows(X.add_features(X.daily_spine(daily(w))))
+    return M.split_summary(*M.train_test_split(rows, 3))
+
+
+@query("ml_timeseries_split", f"""
+    SELECT f::INT AS fold, test_start, test_start + size AS test_end,
+        (SELECT count(*) FROM {_ROWS} r WHERE order_date < test_start) AS train_rows,
+        (SELECT count(*) FROM {_ROWS} r WHERE order_date >= test_start
+            AND order_date < test_start + size) AS test_rows
+    FROM (SELECT f, size, (SELECT order_date FROM (
+              SELECT order_date, row_number() OVER (ORDER BY order_date) - 1 AS i
+              FROM {_ROWS} r WHERE order_date < {_START}) t
+          WHERE i = n - (5 - f) * size) AS test_start
+          FROM (SELECT unnest(range(5)) AS f) a, (SELECT count(*) AS n,
+              (count(*) // 6)::INT AS size FROM {_ROWS} r WHERE order_date < {_START}) b) c""")
+def _(w):
+    rows = X.training_rows(X.add_features(X.daily_spine(daily(w))))
+    return M.fold_sizes(M.train_test_split(rows, 3)[0])
+
+
+# The value a week earlier as prediction, on days with sales.
+@query("ml_regression_metrics", f"""
+    SELECT round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae,
+        round(avg(abs(y - p) / y), 6) AS mape,
+        round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+    FROM (SELECT gmv::DOUBLE AS y, lag(gmv::DOUBLE, 7) OVER (ORDER BY order_date) AS p
+          FROM {_SPINE} s) x WHERE y > 0 AND p IS NOT NULL""")
+def _(w):
+    week = Window.partitionBy("series").orderBy("order_date")
+    naive = X.daily_spine(daily(w)).withColumn(
+        "prediction", F.lag("gmv", 7).over(week).cast("double"))
+    metrics = M.regression_metrics(naive.filter("gmv > 0 AND prediction IS NOT NULL"))
+    digits = {"rmse": 3, "mae": 3, "mape": 6, "r2": 6}
+    return metrics.select(*[F.round(c, n).alias(c) for c, n in digits.items()])
+
+
+@query("ml_assumptions", f"""
+    SELECT 'total' AS series, sum(gmv)::DOUBLE / sum(orders) AS aov,
+        least(1.0, sum(unique_customers)::DOUBLE / sum(orders)) AS customer_ratio
+    FROM (SELECT * FROM {_SPINE} s WHERE orders > 0 AND gmv > 0
+          ORDER BY order_date DESC LIMIT 90) r""")
+def _(w):
+    return R.assumptions(X.daily_spine(daily(w)))
+
+
+@query("ml_random_forest")
+def _(w):
+    return _run(w, splits=2).predictions()
+
+
+@query("ml_param_grid")
+def _(w):
+    scores = _run(w, grid=SEARCHED, splits=2).search.as_rows(w.spark)
+    return scores.groupBy("setting_no", "setting", "is_best").agg(
+        F.avg("rmse").alias("mean_rmse"), F.count(F.lit(1)).alias("folds"))
+
+
+@query("ml_grid_search")
+def _(w):
+    return _run(w, grid=SEARCHED, splits=2).search.as_rows(w.spark)
+
+
+@query("ml_tune")
+def _(w):
+    run = _run(w, splits=None)
+    return run.search.as_rows(w.spark).select(
+        F.lit(run.search.splits).alias("cv_splits"), "setting", "fold", "rmse", "mean_rmse")
+
+
+@query("ml_evaluate")
+def _(w):
+    return _run(w, splits=2).evaluation()
+
+
+@query("ml_performance_table")
+def _(w):
+    return _run(w, splits=2).performance()
+
+
+@query("ml_feature_importance")
+def _(w):
+    return _run(w, splits=2).importance().select("feature", "importance")
+
+
+@query("ml_importance_table")
+def _(w):
+    return _run(w, splits=2).importance()
+
+
+@query("ml_recursive_forecast")
+def _(w):
+    return _run(w, splits=2).forecast_daily()
+
+
+@query("ml_forecast_monthly")
+def _(w):
+    return R.monthly(_run(w, splits=2, source=_by_state).forecast_daily())
