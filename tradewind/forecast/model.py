@@ -106,7 +106,6 @@ def fold_bounds(train: DataFrame, splits: int | None = None) -> DataFrame:
     sized = _day_count(train).withColumn("k", k).withColumn(
         "size", C.int_div(F.col("n"), F.col("k") + 1).cast("int"))
     folds = sized.withColumn("fold", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    start = F.col("n") - (F.col("k") - F.col("fold")) * F.col("size")
     return folds.select(
         "fold", "k",
         F.expr("date_add(first, n - (k - fold) * size)").alias("test_start"),
@@ -115,12 +114,15 @@ def fold_bounds(train: DataFrame, splits: int | None = None) -> DataFrame:
 
 
 def fold_sizes(train: DataFrame, splits: int | None = None) -> DataFrame:
-    """Rows on both sides of every fold. Folds are at most a handful of rows."""
-    folds = fold_bounds(train, splits)
+    """Rows on both sides of every fold."""
+    folds = fold_bounds(train, splits).agg(
+        F.collect_list(F.struct("fold", "test_start", "test_end")).alias("f"))  # five at most
     days = train.groupBy("order_date").agg(F.count(F.lit(1)).alias("n"))
-    inside = (F.col("order_date") >= F.col("test_start")) & (F.col("order_date") < F.col("test_end"))
-    return days.crossJoin(F.broadcast(folds)).groupBy("fold", "test_start", "test_end").agg(
-        F.sum(F.when(F.col("order_date") < F.col("test_start"), F.col("n"))).alias("train_rows"),
+    each = days.withColumn("f", folds.scalar()).select("order_date", "n", F.inline("f"))
+    earlier = F.col("order_date") < F.col("test_start")
+    inside = ~earlier & (F.col("order_date") < F.col("test_end"))
+    return each.groupBy("fold", "test_start", "test_end").agg(
+        F.sum(F.when(earlier, F.col("n"))).alias("train_rows"),
         F.sum(F.when(inside, F.col("n"))).alias("test_rows"))
 
 

@@ -81,7 +81,7 @@ def _push(array: str, value: Column) -> Column:
 
 
 def forecast(
-    spine: DataFrame, model, horizon: int = 30, window: int = 90, settle_every: int = 10
+    spine: DataFrame, model, horizon: int = 30, window: int = 90, settle_every: int = 5
 ) -> DataFrame:
     """(series, order_date, forecast_step, forecast_gmv, forecast_orders,
     forecast_daily_unique_customers) for the days after the last one."""
@@ -93,25 +93,28 @@ def forecast(
         raise ValueError(
             f"series {unusable[0]['series']!r} needs {DEPTH} days of history and a recent day "
             "with positive orders and GMV")
+    # The same expressions serve every step: the state holds its own last day.
     vector = VectorAssembler(inputCols=X.FEATURES, outputCol="features")
+    day = F.date_add("last_date", 1)
+    inputs = step_features(day)
+    read = ["*", *[inputs[f].cast("double").alias(f) for f in X.FEATURES]]
+    g, o, c = F.col("g"), F.col("o"), F.col("c")
+    gmv = F.greatest(F.lit(0.0), F.col("prediction")).alias("g")
+    orders = (g / F.col("aov")).alias("o")
+    customers = (o * F.col("customer_ratio")).alias("c")
+    entry = F.struct((F.size("made") + 1).alias("step"), day.alias("day"), g, o, c)
     kept = state.columns
+    following = {
+        **{k: F.col(k) for k in kept}, "last_date": day, "gmv": _push("gmv", g),
+        "orders": _push("orders", o), "customers": _push("customers", c),
+        "made": F.concat("made", F.array(entry)),
+    }
+    advance = [column.alias(k) for k, column in following.items()]
     for step in range(1, horizon + 1):
-        day = F.date_add("last_date", step)
-        inputs = step_features(day)
-        rows = state.select(*kept, *[
-            inputs[f].cast("double").alias(f) for f in X.FEATURES])
-        rows = model.transform(vector.transform(rows)).select(
-            *kept, F.greatest(F.lit(0.0), F.col("prediction")).alias("g"))
-        rows = rows.withColumn("o", F.col("g") / F.col("aov")).withColumn(
-            "c", F.col("o") * F.col("customer_ratio"))
-        entry = F.struct(F.lit(step).alias("step"), day.alias("day"), "g", "o", "c")
-        state = rows.select(
-            "series", "first_date", "last_date",
-            _push("gmv", F.col("g")).alias("gmv"),
-            _push("orders", F.col("o")).alias("orders"),
-            _push("customers", F.col("c")).alias("customers"),
-            "aov", "customer_ratio",
-            F.concat("made", F.array(entry)).alias("made"))
+        scored = model.transform(vector.transform(state.select(*read)))
+        state = (
+            scored.select(*kept, gmv).select("*", orders).select("*", customers)
+            .select(*advance))
         if step % settle_every == 0 and step < horizon:
             state = settled(state, "forecast-state")
     return state.select("series", F.inline("made")).select(

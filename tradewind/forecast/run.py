@@ -13,6 +13,7 @@ from tradewind import schema
 from tradewind.forecast import features as X
 from tradewind.forecast import model as M
 from tradewind.forecast import recursive as R
+from tradewind.functions import columns as C
 from tradewind.session import settled
 from tradewind.sources import sinks
 
@@ -66,8 +67,8 @@ class Forecast:
         predicted = settled(self.predictions(), "holdout")
         months = M.monthly_totals(predicted)
         daily, monthly = M.regression_metrics(predicted), M.regression_metrics(months)
-        wide = daily.crossJoin(F.broadcast(  # one row each
-            monthly.select(F.col("mae").alias("month_mae"), F.col("mape").alias("month_mape"))))
+        wide = C.beside(daily, monthly.select(
+            F.col("mae").alias("month_mae"), F.col("mape").alias("month_mape")))
         rows = [("primary_tuning", "daily", "rmse", "rmse"),
                 ("secondary_check", "daily", "mae", "mae"),
                 ("secondary_check", "daily", "mape", "mape"),

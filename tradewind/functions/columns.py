@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,12 @@ def pct2(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, hundredths / F.lit(100.0))
 
 
+def beside(one_row: DataFrame, other: DataFrame) -> DataFrame:
+    """Columns of two one-row frames in one row, through a scalar subquery."""
+    packed = other.select(F.struct("*").alias("_other"))
+    return one_row.withColumn("_other", packed.scalar()).select(*one_row.columns, "_other.*")
+
+
 def purchase_day(ts: str = "order_purchase_timestamp") -> Column:
     return F.col(ts).cast("date")
 

@@ -78,8 +78,7 @@ def describe_orders(fact_orders: DataFrame) -> DataFrame:
         F.count("us").alias("count"),
         C.int_div(F.sum(F.col("us").cast("decimal(38,0)")), F.count("us")).alias("mean"),
         F.min("us").alias("min"), F.max("us").alias("max"))
-    # Both sides are one row.
-    times = whole.crossJoin(F.broadcast(rank.quantiles(known, F.col("us"), spots))).select(
+    times = C.beside(whole, rank.quantiles(known, F.col("us"), spots)).select(
         F.lit(ts).alias("column_name"), "count",
         F.lit(None).cast("long").alias("unique"), F.lit(None).cast("string").alias("top"),
         F.lit(None).cast("long").alias("freq"), *[back(F.col(c)).alias(c) for c in moment])
@@ -95,8 +94,7 @@ def describe_amount(df: DataFrame, column: str) -> DataFrame:
         F.round(F.stddev_samp(value.cast("double")), 3).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"))
     spots = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    # Both sides are one row.
-    return whole.crossJoin(F.broadcast(rank.quantiles(df, value, spots)))
+    return C.beside(whole, rank.quantiles(df, value, spots))
 
 
 def orders_per_customer(delivered: DataFrame) -> DataFrame:
@@ -150,12 +148,9 @@ def pareto_customers(fact_orders: DataFrame) -> DataFrame:
 def top_share(fact_orders: DataFrame, one_in: int = 5) -> DataFrame:
     """GMV share of the first 1/`one_in` of the customers (20 % by default)."""
     people = settled(customer_gmv(fact_orders), "customer-gmv")
+    cut = rank.tuples_at_ranks(people, _by_gmv(), lambda n: [n // one_in])
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_by_gmv())])
-    last = rank.rows_at_ranks(
-        people.select(key.alias("_key")), [F.col("_key")],
-        lambda n: F.array(C.int_div(n, F.lit(one_in))))
-    cut = last.agg(F.max("_key").alias("_key"))  # at most one row
-    marked = people.withColumn("_cut", cut.scalar()).withColumn("_top", key <= F.col("_cut"))
+    marked = people.withColumn("_top", key <= cut[0] if cut else F.lit(False))
     top = F.coalesce(F.sum(F.when(F.col("_top"), F.col("customer_gmv"))), F.lit(0))
     return marked.agg(
         (top.cast("double") / F.sum("customer_gmv").cast("double")).alias("top20_gmv_share"))
@@ -165,8 +160,7 @@ def order_gmv_quantiles(fact_orders: DataFrame) -> DataFrame:
     delivered = fact_orders.filter("is_delivered")
     spots = {"gmv_p95": 0.95, "gmv_p99": 0.99}
     most = delivered.agg(F.max("order_gmv").alias("gmv_max"))
-    # Both sides are one row.
-    return rank.quantiles(delivered, F.col("order_gmv"), spots).crossJoin(F.broadcast(most))
+    return C.beside(most, rank.quantiles(delivered, F.col("order_gmv"), spots))
 
 
 def gmv_histogram(fact_orders: DataFrame, bins: int = 50) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions import columns as C
+from tradewind.session import settled
 
 
 def _with_month(df: DataFrame, ts: str) -> DataFrame:
@@ -18,9 +19,13 @@ def _with_month(df: DataFrame, ts: str) -> DataFrame:
 
 
 def month_ends(df: DataFrame, ts: str) -> DataFrame:
-    """Calendar months with an event and the time of their last one."""
-    return _with_month(df.filter(F.col(ts).isNotNull()), ts).groupBy(
+    """Calendar months with an event and the time of their last one.
+
+    Stored, because callers read these few rows more than once.
+    """
+    months = _with_month(df.filter(F.col(ts).isNotNull()), ts).groupBy(
         F.col("month").alias("report_month")).agg(F.max(ts).alias("as_of"))
+    return settled(months, "month-ends")
 
 
 def up_to_month_end(df: DataFrame, ts: str) -> DataFrame:

@@ -1,117 +1,94 @@
 """Global ranks, quantiles and running totals without a single-task window.
 
-A window without partition keys moves every row to one task. Here the order is
-cut into buckets first. Bucket bounds are sort tuples (key, tie-break) taken
-from a sample of fixed size, so one dominant key value is still split by its
-tie-break. Only bucket totals (one row per bucket) are ordered globally.
+A window without partition keys moves every row to one task. Here rows are range
+partitioned by the whole sort tuple (key, tie-break) first, so even one dominant
+key value is spread by its tie-break. The split is stored with its bucket number:
+a lost task cannot change it, and later passes read it back. The driver holds
+one total per bucket; rows stay in Spark.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.session import settled
 
-_PER_BUCKET = 32  # sampled tuples per bucket
 
+class Split:
+    """`df` stored in ascending buckets of the tuple `order`."""
 
-def _side(df: DataFrame) -> int:
-    """Square root of the bucket count, from the session's shuffle width."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, math.ceil(math.sqrt(width)))
+    def __init__(self, df: DataFrame, order: list[Column]):
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.keys = [f"_k{i}" for i in range(len(order))]
+        keyed = df.select("*", *[c.alias(k) for c, k in zip(order, self.keys)])
+        ranged = keyed.repartitionByRange(width, *self.keys)
+        self.rows = settled(ranged.withColumn("_bucket", F.spark_partition_id()), "split")
 
+    def upto(self) -> Window:
+        """All rows of a bucket up to the current one."""
+        return Window.partitionBy("_bucket").orderBy(*self.keys).rowsBetween(
+            Window.unboundedPreceding, 0)
 
-def _bounds(df: DataFrame, side: int) -> DataFrame:
-    """One row: `side` lists of up to `side` ascending tuples.
-
-    The sample is the rows with the smallest hashes: a fixed number of them, and
-    the same ones whenever a lost task is run again.
-    """
-    buckets = side * side
-    sample = df.select("_x").orderBy(F.xxhash64("_x"), "_x").limit(buckets * _PER_BUCKET)
-    ordered = sample.agg(F.array_sort(F.collect_list("_x")).alias("s"))
-    size = F.size("s")
-
-    def tuple_at(i: Column) -> Column:
-        return F.get("s", F.floor(size * i / buckets).cast("int"))
-
-    coarse = F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda c: tuple_at(c * side))
-    fine = F.transform(
-        F.sequence(F.lit(0), F.lit(side - 1)),
-        lambda c: F.transform(
-            F.sequence(F.lit(1), F.lit(side - 1)), lambda i: tuple_at(c * side + i)
-        ),
-    )
-    return ordered.select(F.struct(coarse.alias("coarse"), fine.alias("fine")).alias("b"))
-
-
-def bucketed(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Adds `_x` (sort tuple) and `_bucket`, ascending with `_x`."""
-    side = _side(df)
-    df = df.withColumn("_x", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    # A scalar subquery: computed once, then a constant of the projection.
-    df = df.withColumn("_b", _bounds(df, side).scalar())
-    df = df.withColumn(
-        "_c", F.size(F.filter(F.col("_b.coarse"), lambda b: b <= F.col("_x")))
-    )
-    within = F.filter(F.get("_b.fine", F.col("_c")), lambda b: b <= F.col("_x"))
-    return df.withColumn("_bucket", F.col("_c") * side + F.size(within)).drop("_b", "_c")
-
-
-def _totals(buckets: DataFrame, measures: dict[str, Column]) -> DataFrame:
-    """Per bucket: for each measure the total before the bucket and overall.
-
-    One row per bucket, so the unpartitioned windows below see a bounded input.
-    """
-    per = buckets.groupBy("_bucket").agg(*[F.sum(c).alias(n) for n, c in measures.items()])
-    whole = Window.partitionBy(F.lit(1))
-    upto = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    out = ["_bucket"]
-    for name in measures:
-        out += [
-            F.col(name).alias(f"_{name}_here"),
-            F.coalesce(F.sum(name).over(upto), F.lit(0)).alias(f"_{name}_before"),
-            F.sum(name).over(whole).alias(f"_{name}_all"),
-        ]
-    return per.select(*out)
+    def totals(self, **measures: Column) -> list[tuple]:
+        """Ascending (bucket, totals before it..., totals in it...)."""
+        sums = self.rows.groupBy("_bucket").agg(*[F.sum(c).alias(n) for n, c in measures.items()])
+        before, out = [0] * len(measures), []
+        for row in sorted(sums.collect(), key=lambda r: r["_bucket"]):  # one row per bucket
+            here = [row[n] if row[n] is not None else 0 for n in measures]
+            out.append((row["_bucket"], tuple(before), tuple(here)))
+            before = [b + h for b, h in zip(before, here)]
+        return out
 
 
 def rows_at_ranks(
-    df: DataFrame, order: list[Column], ranks, weight: Column | None = None
+    df: DataFrame, order: list[Column], ranks: Callable[[int], list[int]],
+    weight: Column | None = None,
 ) -> DataFrame:
     """Rows that cover given 1-based positions of a total order.
 
-    `ranks(n)` maps the number of positions to an array column of positions.
-    `weight` (default 1) is the number of positions a row covers. Returns one
-    row per requested position: `rank_no` (index in the array), `position`, `n`
-    and the columns of `df`. Only buckets that hold a position are sorted.
-    `df` is read several times: pass a stored or settled frame.
+    `ranks(n)` lists positions for a frame of n. `weight` (default 1) is the
+    number of positions a row covers. Returns one row per listed position:
+    `rank_no` (index in the list), `position`, `n` and the columns of `df`. Only
+    buckets that hold a position are sorted.
     """
     columns = df.columns
-    rows = bucketed(df.withColumn("_w", weight if weight is not None else F.lit(1).cast("long")),
-                    order)
-    wanted = (
-        _totals(rows, {"w": F.col("_w")})
-        .select("_bucket", "_w_before", "_w_here", F.col("_w_all").alias("n"),
-                F.posexplode(ranks(F.col("_w_all"))).alias("rank_no", "position"))
-        .filter("position > _w_before AND position <= _w_before + _w_here")
-        .groupBy("_bucket", "_w_before", "n")
-        .agg(F.collect_list(F.struct("rank_no", "position")).alias("_wanted"))
-    )
-    inside = Window.partitionBy("_bucket").orderBy("_x")
-    # `wanted` has at most one row per requested position.
+    split = Split(
+        df.withColumn("_w", weight if weight is not None else F.lit(1).cast("long")), order)
+    totals = split.totals(w=F.col("_w"))
+    n = sum(here for _, _, (here,) in totals)
+    wanted = [
+        (bucket, before, [(i, p) for i, p in enumerate(ranks(n)) if before < p <= before + here])
+        for bucket, (before,), (here,) in totals
+    ]
+    wanted = [entry for entry in wanted if entry[2]]
+    listed = df.sparkSession.createDataFrame(
+        wanted, "_bucket int, _before long, _wanted array<struct<rank_no:int,position:long>>")
     hit = (
-        rows.join(F.broadcast(wanted), "_bucket")
-        .withColumn("_to", F.col("_w_before") + F.sum("_w").over(
-            inside.rowsBetween(Window.unboundedPreceding, 0)))
+        split.rows.filter(F.col("_bucket").isin([bucket for bucket, _, _ in wanted]))
+        .join(F.broadcast(listed), "_bucket")  # at most one row per position
+        .withColumn("_to", F.col("_before") + F.sum("_w").over(split.upto()))
         .withColumn("_wanted", F.filter("_wanted", lambda r: (
             (r["position"] <= F.col("_to")) & (r["position"] > F.col("_to") - F.col("_w")))))
         .filter(F.size("_wanted") > 0)
     )
-    return hit.select(F.inline("_wanted"), "n", *columns)
+    return hit.select(F.inline("_wanted"), F.lit(n).cast("long").alias("n"), *columns)
+
+
+def tuples_at_ranks(
+    df: DataFrame, order: list[Column], ranks: Callable[[int], list[int]]
+) -> list[Column]:
+    """The sort tuples at a few positions, as constants to compare with."""
+    keys = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    names = [F.col(c) for c in keys.columns]
+    hits = rows_at_ranks(keys, names, ranks).orderBy("rank_no").collect()  # one per position
+    return [
+        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in keys.schema.fields])
+        for row in hits
+    ]
 
 
 def with_ntile(df: DataFrame, name: str, tiles: int, order: list[Column]) -> DataFrame:
@@ -119,41 +96,36 @@ def with_ntile(df: DataFrame, name: str, tiles: int, order: list[Column]) -> Dat
 
     Finds the last row of each tile but the final one, then compares every row
     with those few tuples. The frame itself is not shuffled or sorted.
-    `df` is read several times: pass a stored or settled frame.
     """
-    def ends(n: Column) -> Column:
-        q = F.floor(n / tiles)
-        r = n - q * tiles
-        return F.transform(
-            F.sequence(F.lit(1), F.lit(tiles - 1)),
-            lambda i: (q * i + F.least(i.cast("long"), r)).cast("long"),
-        )
+    def ends(n: int) -> list[int]:
+        q, r = divmod(n, tiles)
+        return [q * i + min(i, r) for i in range(1, tiles)]
 
+    cuts = tuples_at_ranks(df, order, ends)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    cuts = (
-        rows_at_ranks(df.select(key.alias("_key")), [F.col("_key")], ends)
-        .agg(F.array_sort(F.collect_list("_key")).alias("c"))
-    )
-    return (
-        df.withColumn("_cuts", cuts.scalar())
-        .withColumn(name, (F.size(F.filter("_cuts", lambda c: c < key)) + 1).cast("int"))
-        .drop("_cuts")
-    )
+    passed = [(key > cut).cast("int") for cut in cuts]
+    return df.withColumn(name, sum(passed, F.lit(1)))
 
 
 def with_running(df: DataFrame, order: list[Column], measure: Column) -> DataFrame:
     """Adds `position`, `n`, `running` and `total` of `measure` in a global order."""
-    df = settled(df)
-    rows = bucketed(df.withColumn("_m", measure), order)
-    totals = _totals(rows, {"w": F.lit(1).cast("long"), "m": F.col("_m")})
-    upto = Window.partitionBy("_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    split = Split(df.withColumn("_m", measure), order)
+    totals = split.totals(w=F.lit(1).cast("long"), m=F.col("_m"))
+    n = sum(w for _, _, (w, _) in totals)
+    total = sum(m for _, _, (_, m) in totals)
+    exact = split.rows.select(F.sum("_m").alias("m")).schema["m"].dataType
+    offsets = df.sparkSession.createDataFrame(
+        [(bucket, w, str(m)) for bucket, (w, m), _ in totals],
+        "_bucket int, _w_before long, _m_before string",
+    ).withColumn("_m_before", F.col("_m_before").cast(exact))
+    upto = split.upto()
     return (
-        rows.join(F.broadcast(totals), "_bucket")  # one row per bucket
+        split.rows.join(F.broadcast(offsets), "_bucket")  # one row per bucket
         .withColumn("position", F.col("_w_before") + F.count(F.lit(1)).over(upto))
         .withColumn("running", F.col("_m_before") + F.coalesce(F.sum("_m").over(upto), F.lit(0)))
-        .withColumnRenamed("_w_all", "n")
-        .withColumnRenamed("_m_all", "total")
-        .drop("_x", "_m", "_bucket", "_w_here", "_w_before", "_m_here", "_m_before")
+        .withColumn("n", F.lit(n).cast("long"))
+        .withColumn("total", F.lit(str(total)).cast(exact))
+        .drop(*split.keys, "_m", "_bucket", "_w_before", "_m_before")
     )
 
 
@@ -169,19 +141,16 @@ def quantiles(df: DataFrame, column: Column, probabilities: dict[str, float]) ->
     Same definition as `percentile`, but no task holds all values: the two rows
     around each position are located by rank.
     """
-    return quantiles_of_counts(settled(value_counts(df, column), "value-counts"), probabilities)
+    return quantiles_of_counts(value_counts(df, column), probabilities)
 
 
 def quantiles_of_counts(counts: DataFrame, probabilities: dict[str, float]) -> DataFrame:
-    """Quantiles of a settled (value, weight) frame."""
+    """Quantiles of a (value, weight) frame."""
     probs = list(probabilities.items())
 
-    def around(n: Column) -> Column:
-        spots = []
-        for _, p in probs:
-            at = (n - 1) * F.lit(p)
-            spots += [F.floor(at) + 1, F.ceil(at) + 1]
-        return F.array(*[s.cast("long") for s in spots])
+    def around(n: int) -> list[int]:
+        spots = [(n - 1) * p for _, p in probs]
+        return [side(at) + 1 for at in spots for side in (math.floor, math.ceil)]
 
     hits = rows_at_ranks(counts, [F.col("value")], around, F.col("weight"))
 

@@ -12,13 +12,32 @@ from pyspark.sql import functions as F
 from tradewind.functions import columns as C
 
 
-def _has_items() -> Column:
-    return F.col("order_item_count") > 0
+def _per_period(order_facts: DataFrame, period: Column, name: str) -> DataFrame:
+    """Sums of delivered orders per period.
 
-
-def _sold_orders() -> Column:
-    """Distinct orders that have items."""
-    return F.countDistinct(F.when(_has_items(), F.col("order_id")))
+    Rows meet per order first. The fact comes partitioned by order_id, so this
+    adds no exchange, and orders with items are counted once without a DISTINCT.
+    """
+    per_order = order_facts.filter("is_delivered").groupBy("order_id", period.alias(name)).agg(
+        F.sum("order_gmv").alias("gmv"),
+        F.sum("order_payment_total").alias("paid"),
+        F.count(F.lit(1)).alias("orders"),
+        F.count_if("is_valid_for_delivery_delay_kpi").alias("judged"),
+        F.count_if("is_delayed").alias("late"),
+        F.count_if("uses_installments").alias("split"),
+        F.max(F.col("order_item_count") > 0).alias("has_items"),
+        F.max(F.col("payment_row_count") > 0).alias("has_payments"),
+    )
+    return per_order.filter(F.col(name).isNotNull()).groupBy(name).agg(
+        F.sum("gmv").alias("gmv"),
+        F.count_if("has_items").alias("total_orders"),
+        F.sum("paid").alias("actual_payment"),
+        F.sum("orders").alias("delivered_orders"),
+        F.sum("judged").alias("delivery_delay_denominator"),
+        F.sum("late").alias("delayed_orders"),
+        F.sum("split").alias("installment_orders"),
+        F.max(F.col("has_items") | F.col("has_payments")).alias("active"),
+    )
 
 
 def kpi_monthly(order_facts: DataFrame, fact_reviews: DataFrame) -> DataFrame:
@@ -27,16 +46,7 @@ def kpi_monthly(order_facts: DataFrame, fact_reviews: DataFrame) -> DataFrame:
     Months are those with a delivered order. Sums are 0 and ratios NULL where a
     month has nothing to measure.
     """
-    delivered = order_facts.filter("is_delivered AND order_purchase_month IS NOT NULL")
-    months = delivered.groupBy(F.col("order_purchase_month").alias("report_month")).agg(
-        F.sum("order_gmv").alias("gmv"),
-        _sold_orders().alias("total_orders"),
-        F.sum("order_payment_total").alias("actual_payment"),
-        F.count(F.lit(1)).alias("delivered_orders"),
-        F.count_if("is_valid_for_delivery_delay_kpi").alias("delivery_delay_denominator"),
-        F.count_if("is_delayed").alias("delayed_orders"),
-        F.count_if("uses_installments").alias("installment_orders"),
-    )
+    months = _per_period(order_facts, F.col("order_purchase_month"), "report_month")
     reviews = (
         fact_reviews.filter("order_purchase_month IS NOT NULL")
         .groupBy(F.col("order_purchase_month").alias("report_month"))
@@ -65,30 +75,14 @@ def kpi_monthly(order_facts: DataFrame, fact_reviews: DataFrame) -> DataFrame:
 
 def kpi_daily(order_facts: DataFrame) -> DataFrame:
     """Sales and payment per day; only days with items or payments."""
-    days = (
-        order_facts.filter("is_delivered AND order_purchase_date IS NOT NULL")
-        .groupBy(F.col("order_purchase_date").alias("report_date"))
-        .agg(
-            F.sum("order_gmv").alias("gmv"),
-            _sold_orders().alias("total_orders"),
-            F.sum("order_payment_total").alias("actual_payment"),
-            F.max(_has_items() | (F.col("payment_row_count") > 0)).alias("active"),
-        )
-    )
-    return days.filter("active").drop("active")
+    days = _per_period(order_facts, F.col("order_purchase_date"), "report_date")
+    return days.filter("active").select("report_date", "gmv", "total_orders", "actual_payment")
 
 
 def kpi_weekly(order_facts: DataFrame) -> DataFrame:
     """Sales and payment per ISO week (Monday start)."""
-    monday = F.trunc("order_purchase_date", "WEEK")
-    return (
-        order_facts.filter("is_delivered AND order_purchase_date IS NOT NULL")
-        .filter(_has_items() | (F.col("payment_row_count") > 0))
-        .groupBy(monday.alias("week_start"))
-        .agg(F.sum("order_gmv").alias("gmv"),
-             _sold_orders().alias("total_orders"),
-             F.sum("order_payment_total").alias("actual_payment"))
-    )
+    weeks = _per_period(order_facts, F.trunc("order_purchase_date", "WEEK"), "week_start")
+    return weeks.filter("active").select("week_start", "gmv", "total_orders", "actual_payment")
 
 
 def category_monthly(fact_items: DataFrame) -> DataFrame:

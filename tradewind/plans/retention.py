@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import columns as C
 from tradewind.schema import RETENTION_CODES
+from tradewind.session import settled
 
 WINDOWS = (3, 6)
 _PERSON, _TS = "customer_unique_id", "order_purchase_timestamp"
@@ -70,9 +71,13 @@ def snapshot(delivered: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def month_ends(delivered: DataFrame) -> DataFrame:
-    """Calendar months with a delivered order and the last order time in each."""
-    return delivered.groupBy(C.month_start(F.col(_TS).cast("date")).alias("report_month")).agg(
+    """Calendar months with a delivered order and the last order time in each.
+
+    Stored, because the metrics read these few rows three times.
+    """
+    ends = delivered.groupBy(C.month_start(F.col(_TS).cast("date")).alias("report_month")).agg(
         F.max(_TS).alias("as_of_timestamp"))
+    return settled(ends, "month-ends")
 
 
 def _person_months(delivered: DataFrame, ends: DataFrame) -> DataFrame:

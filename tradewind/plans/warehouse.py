@@ -45,12 +45,12 @@ TABLES: dict[str, Callable[["Warehouse"], DataFrame]] = {
         w["gold_customer_delivered_orders"]),
 }
 
-# Large facts are stored by purchase month; the key spreads a month over files.
+# Large facts are stored by purchase month, the column most filters use.
 PARTITIONED = {
-    "gold_fact_orders": "order_id",
-    "gold_fact_order_items": "order_id",
-    "gold_fact_order_payments": "order_id",
-    "gold_fact_order_reviews": "order_id",
+    "gold_fact_orders": "order_purchase_month",
+    "gold_fact_order_items": "order_purchase_month",
+    "gold_fact_order_payments": "order_purchase_month",
+    "gold_fact_order_reviews": "order_purchase_month",
 }
 
 
@@ -58,28 +58,30 @@ class Warehouse:
     """Tables by name. Derived ones are built on first use and stay lazy until
     `materialise` writes them."""
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame]):
+    def __init__(self, spark: SparkSession, open_raw: Callable[[str], DataFrame]):
         self.spark = spark
-        self._tables = dict(raw)
+        self._open_raw = open_raw  # called once per raw table, on first use
+        self._tables: dict[str, DataFrame] = {}
         self._order_facts: DataFrame | None = None
         self._stored: set[str] = set()
 
     @classmethod
     def from_csv(cls, spark: SparkSession, paths: dict[str, str]) -> "Warehouse":
-        return cls(spark, {t: readers.raw_csv(spark, t, p) for t, p in paths.items()})
+        return cls(spark, lambda t: readers.raw_csv(spark, t, paths[t]))
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, folder: str) -> "Warehouse":
-        return cls(spark, standins.load(spark, folder))
+        return cls(spark, lambda t: standins.load(spark, folder, t))
 
     @classmethod
     def from_store(cls, spark: SparkSession, folder: str) -> "Warehouse":
         """Raw tables stored as parquet, one folder per table."""
-        return cls(spark, {t: readers.table_scan(spark, f"{folder}/{t}") for t in schema.RAW})
+        return cls(spark, lambda t: readers.table_scan(spark, f"{folder}/{t}"))
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = TABLES[name](self)
+            self._tables[name] = (
+                self._open_raw(name) if name in schema.RAW else TABLES[name](self))
         return self._tables[name]
 
     @property
@@ -100,9 +102,7 @@ class Warehouse:
         """Write tables (all by default) in build order; later ones read the
         written ones, so a layer is computed once and lineage stays short."""
         for name in names or TABLES:
-            key = PARTITIONED.get(name)
             self._tables[name] = sinks.overwrite(
-                self[name], f"{folder.rstrip('/')}/{name}",
-                partition_by="order_purchase_month" if key else None, spread_on=key)
+                self[name], f"{folder.rstrip('/')}/{name}", PARTITIONED.get(name))
             self._stored.add(name)
         return self

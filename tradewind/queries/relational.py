@@ -291,14 +291,15 @@ def _(w):
 
 
 @query("join_topn_detail", """
-    SELECT t.order_id, payment_sequential, payment_value, order_item_id, price
+    SELECT t.order_id, payment_sequential, payment_value, items AS item_count,
+        gmv AS items_amount
     FROM (SELECT * FROM raw_order_payments ORDER BY payment_value DESC NULLS LAST, order_id,
             payment_sequential, payment_type, payment_installments LIMIT 10) t
-    JOIN raw_order_items i ON i.order_id = t.order_id""", "payment_value price")
+    LEFT JOIN item_totals i ON i.order_id = t.order_id""", "payment_value items_amount")
 def _(w):
-    top = quality.payment_top(w["raw_order_payments"], 10)
-    return w["raw_order_items"].join(F.broadcast(top), "order_id").select(  # ten rows
-        "order_id", "payment_sequential", "payment_value", "order_item_id", "price")
+    top = quality.payment_top_vs_items(w["raw_order_payments"], w["raw_order_items"], 10)
+    return top.select("order_id", "payment_sequential", "payment_value", "item_count",
+                      "items_amount")
 
 
 @query("join_spine_left", """
@@ -505,15 +506,17 @@ def _(w):
 
 
 @query("win_rownumber_over_agg", """
-    SELECT order_purchase_month AS month, seller_id, sum(line_gmv) AS gmv,
-        row_number() OVER (PARTITION BY order_purchase_month
-            ORDER BY sum(line_gmv) DESC, seller_id) AS place
+    SELECT order_purchase_month AS month, product_category_label AS label,
+        sum(line_gmv) AS gmv, row_number() OVER (PARTITION BY order_purchase_month
+            ORDER BY sum(line_gmv) DESC, product_category_label) AS place
     FROM gold_fact_order_items WHERE is_delivered GROUP BY 1, 2""", "gmv")
 def _(w):
     sums = w["gold_fact_order_items"].filter("is_delivered").groupBy(
-        col("order_purchase_month").alias("month"), "seller_id"
+        col("order_purchase_month").alias("month"),
+        col("product_category_label").alias("label"),
     ).agg(F.sum("line_gmv").alias("gmv"))
-    order = Window.partitionBy("month").orderBy(col("gmv").desc_nulls_last(), "seller_id")
+    # A month has one row per category here.
+    order = Window.partitionBy("month").orderBy(col("gmv").desc_nulls_last(), "label")
     return sums.withColumn("place", F.row_number().over(order))
 
 

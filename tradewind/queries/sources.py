@@ -37,7 +37,7 @@ def _(w):
     WHERE is_delivered ORDER BY order_purchase_date, order_id""", "order_gmv")
 def _(w):
     path = scratch_path(w.spark, "fact-orders")
-    sinks.overwrite(w["gold_fact_orders"], path, "order_purchase_month", "order_id")
+    sinks.overwrite(w["gold_fact_orders"], path, "order_purchase_month")
     return (
         readers.table_scan(
             w.spark, path, "order_id", "order_purchase_date", "order_gmv", "is_delivered")

@@ -7,20 +7,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def overwrite(
-    df: DataFrame, path: str, partition_by: str | None = None, spread_on: str | None = None,
-    files_per_partition: int = 8,
-) -> DataFrame:
+def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Rebuild a stored table from a query and return a scan of it.
 
-    A partitioned table is shuffled by (partition, salt of `spread_on`), so a
-    partition that holds most rows is still written by several tasks, and each
-    partition gets a bounded number of files.
+    A partitioned table is rebalanced by its partition column: adaptive execution
+    splits a partition that holds most rows over many tasks of the advisory size
+    and joins small ones, so files are neither huge nor many.
     """
     if partition_by:
-        salt = F.pmod(F.hash(F.col(spread_on)), F.lit(files_per_partition))
-        df = df.repartition(F.col(partition_by), salt)
-        df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        balanced = df.hint("rebalance", F.col(partition_by))
+        balanced.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -7,6 +7,8 @@ text; `load` applies it to the parquet files of one folder.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -100,16 +102,14 @@ def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def load(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All nine raw tables of one test-data folder, lazily."""
-    views = {name: given(spark, folder, name) for name in GIVEN}
-    # Arguments of a parameterised query: no session-wide views are registered,
-    # so two folders can be open at once.
-    out = {}
-    for table, text in SQL.items():
-        used = {n: df for n, df in views.items() if f" {n}" in text.replace("\n", " ")}
-        for name, df in used.items():
-            text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(
-                f"JOIN {name} ", f"JOIN {{{name}}} ")
-        out[table] = spark.sql(text, **used) if used else spark.sql(text)
-    return out
+def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """One raw table over the parquet files of a folder.
+
+    The given tables are arguments of the query: no session-wide views are
+    registered, so two folders can be open at once.
+    """
+    text = SQL[table]
+    used = [n for n in GIVEN if re.search(rf"\b(FROM|JOIN) {n}\b", text)]
+    for name in used:
+        text = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", text)
+    return spark.sql(text, **{n: given(spark, folder, n) for n in used})
