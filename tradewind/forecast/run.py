@@ -81,6 +81,13 @@ class Forecast:
             for role, grain, metric, source in rows
         ])).alias("r")).select("r.*")
 
+    def metrics_pivot(self) -> DataFrame:
+        """One row per metric role, one column per grain and metric."""
+        named = self.evaluation().withColumn("grain_metric", F.concat_ws("_", "grain", "metric"))
+        columns = ["daily_mae", "daily_mape", "daily_r2", "daily_rmse", "monthly_mae",
+                   "monthly_mape"]
+        return named.groupBy("metric_role").pivot("grain_metric", columns).agg(F.first("value"))
+
     def performance(self) -> DataFrame:
         train, test = M.checked_extent(self.train, "train"), M.checked_extent(self.test, "test")
         months = self.test.select(
