@@ -114,7 +114,8 @@ def test_empty_side_is_an_error(daily):
 
 
 def test_metrics(spark):
-    df = spark.createDataFrame([(100.0, 90.0), (0.0, 5.0), (50.0, 50.0)], "gmv double, prediction double")
+    df = spark.createDataFrame(
+        [(100.0, 90.0), (0.0, 5.0), (50.0, 50.0)], "gmv double, prediction double")
     m = M.regression_metrics(df).first()
     assert m["rmse"] == pytest.approx(math.sqrt(125 / 3))
     assert m["mae"] == pytest.approx(5.0)

@@ -86,7 +86,8 @@ def test_one_value_is_spread_by_its_tie_break(spark):
 def test_mode(spark):
     data = [(1, "b"), (1, "a"), (1, "b"), (2, "z"), (2, "y"), (3, None)] + [(4, "h")] * 500
     df = spark.createDataFrame(data, "k int, s string")
-    got = {r["k"]: (r["s"], r["s_distinct"]) for r in modes.grouped_modes(df, ["k"], ["s"]).collect()}
+    rows = modes.grouped_modes(df, ["k"], ["s"]).collect()
+    got = {r["k"]: (r["s"], r["s_distinct"]) for r in rows}
     assert got == {1: ("b", 2), 2: ("y", 2), 4: ("h", 1)}
 
 

@@ -227,7 +227,7 @@ def business_logic(tables) -> DataFrame:
     def orders_per(key: str) -> DataFrame:
         return delivered.groupBy(key).agg(F.countDistinct("order_id").alias("orders"))
 
-    sold = items.filter("is_delivered").select("order_id")
+    sold = items.filter("is_delivered").select("order_id").distinct()
     mixed = items.filter(~F.col("is_delivered")).join(sold, "order_id", "left_semi")
     most = payments.groupBy("order_id").agg(F.max("payment_installments").alias("most"))
     split = orders.filter("is_delivered").select("order_id", "uses_installments").distinct().join(

@@ -70,7 +70,8 @@ def time_slicer(
         dates = dates.filter(F.col("month").isin(months))
     days = dates.select("date_day", *by)
     sold = fact_orders.filter("is_delivered").withColumnRenamed("order_purchase_date", "date_day")
-    return sold.join(days, "date_day").groupBy(*by).agg(
+    # One row per calendar day.
+    return sold.join(F.broadcast(days), "date_day").groupBy(*by).agg(
         F.sum("order_gmv").alias("gmv"),
         F.countDistinct("order_id").alias("total_orders"),
         F.sum("order_payment_total").alias("actual_payment"),

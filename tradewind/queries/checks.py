@@ -33,7 +33,8 @@ def _(w):
         CASE WHEN count(DISTINCT metric_code) = 5 THEN 'PASS' ELSE 'FAIL' END AS status
     FROM dash_retention_snapshot
     UNION ALL
-    SELECT 'dash_retention_monthly has 5 metric codes per month', 5, min(n), count_if(n <> 5),
+    SELECT 'dash_retention_monthly has 5 metric codes per month', 5, min(n),
+        count(*) FILTER (n <> 5),
         CASE WHEN bool_and(n = 5) THEN 'PASS' ELSE 'FAIL' END
     FROM (SELECT report_month, count(DISTINCT metric_code) AS n
           FROM dash_retention_monthly GROUP BY 1) m""")
@@ -89,7 +90,7 @@ _LOGIC = """
             'no order counts as delivered on one line and not on another' AS rationale,
             FALSE AS wants_some,
             (SELECT coalesce(sum(n_not), 0)::BIGINT FROM (
-                SELECT count_if(NOT is_delivered) AS n_not FROM gold_fact_order_items
+                SELECT count(*) FILTER (NOT is_delivered) AS n_not FROM gold_fact_order_items
                 GROUP BY order_id HAVING bool_or(is_delivered)) x) AS issue_count
         UNION ALL SELECT 'retention uses customer_unique_id, not customer_id',
             'customer_id belongs to one order, so it cannot show repeat purchases', FALSE,

@@ -51,7 +51,7 @@ def _(w):
 
 
 @query("eda_critical_null_rates", UNION.join(
-    f"SELECT '{c}' AS column_name, count_if({c} IS NULL) / count(*) AS null_rate "
+    f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) / count(*) AS null_rate "
     "FROM gold_fact_orders" for c in X.CRITICAL))
 def _(w):
     return X.null_rates(w.order_facts(), X.CRITICAL)
@@ -62,8 +62,8 @@ _PER = """(SELECT customer_unique_id, count(DISTINCT order_id) AS n
 
 
 @query("eda_customer_frequency", UNION.join(
-    f"SELECT '{m}' AS metric, count_if({p}) AS value, count_if({p}) / count(*) AS rate "
-    f"FROM {_PER}" for m, p in [("one_time_customers", "n = 1"),
+    f"SELECT '{m}' AS metric, count(*) FILTER ({p}) AS value, "
+    f"count(*) FILTER ({p}) / count(*) AS rate FROM {_PER}" for m, p in [("one_time_customers", "n = 1"),
                                 ("repeat_customers_gt1", "n > 1"),
                                 ("loyal_customers_ge5", "n >= 5")]))
 def _(w):

@@ -258,7 +258,8 @@ def _(w):
     SELECT order_id FROM raw_orders WHERE order_id NOT IN (SELECT order_id FROM raw_order_items)""")
 def _(w):
     return w["raw_orders"].join(
-        w["raw_order_items"].select("order_id"), "order_id", "left_anti").select("order_id")
+        w["raw_order_items"].select("order_id").distinct(), "order_id", "left_anti"
+    ).select("order_id")
 
 
 @query("join_exists_flag", """
@@ -434,7 +435,7 @@ def _(w):
 
 
 @query("agg_rate_pct", """
-    SELECT payment_type, round(100.0 * count_if(payment_installments > 1) / count(*), 2)
+    SELECT payment_type, round(100.0 * count(*) FILTER (payment_installments > 1) / count(*), 2)
         AS split_pct FROM raw_order_payments GROUP BY 1""")
 def _(w):
     return w["raw_order_payments"].groupBy("payment_type").agg(
@@ -452,7 +453,7 @@ _REVIEW = ["review_id", "review_comment_title", "review_comment_message"]
 
 
 @query("agg_null_rate", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count_if({c} IS NULL) / count(*) AS null_rate "
+    f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) / count(*) AS null_rate "
     "FROM raw_order_reviews" for c in _REVIEW))
 def _(w):
     return explore.null_rates(w["raw_order_reviews"], _REVIEW)
@@ -508,7 +509,7 @@ def _(w):
 @query("win_rownumber_over_agg", """
     SELECT order_purchase_month AS month, product_category_label AS label,
         sum(line_gmv) AS gmv, row_number() OVER (PARTITION BY order_purchase_month
-            ORDER BY sum(line_gmv) DESC, product_category_label) AS place
+            ORDER BY sum(line_gmv) DESC, product_category_label)::INT AS place
     FROM gold_fact_order_items WHERE is_delivered GROUP BY 1, 2""", "gmv")
 def _(w):
     sums = w["gold_fact_order_items"].filter("is_delivered").groupBy(

@@ -11,7 +11,7 @@ _CARDS = """(SELECT order_purchase_month AS period_start, sum(order_gmv)::DOUBLE
         count(DISTINCT customer_unique_id) AS unique_customers,
         any_value(again) / count(DISTINCT customer_unique_id) AS repeat_rate
     FROM gold_fact_orders JOIN (
-        SELECT order_purchase_month, count_if(n > 1) AS again FROM (
+        SELECT order_purchase_month, count(*) FILTER (n > 1) AS again FROM (
             SELECT order_purchase_month, customer_unique_id, count(DISTINCT order_id) AS n
             FROM gold_fact_orders WHERE is_delivered GROUP BY ALL) p GROUP BY 1) q
         USING (order_purchase_month)
@@ -29,11 +29,11 @@ def _(w):
 
 @query("bi_time_slicer", """
     SELECT year, quarter_label, sum(order_gmv) AS gmv, count(DISTINCT order_id) AS total_orders,
-        sum(order_payment_total) AS actual_payment, count_if(is_delayed) AS delayed_orders,
-        count_if(is_valid_for_delivery_delay_kpi) AS judged_orders,
+        sum(order_payment_total) AS actual_payment, count(*) FILTER (is_delayed) AS delayed_orders,
+        count(*) FILTER (is_valid_for_delivery_delay_kpi) AS judged_orders,
         sum(order_gmv)::DOUBLE / count(DISTINCT order_id) AS aov,
-        CASE WHEN count_if(is_valid_for_delivery_delay_kpi) > 0 THEN
-            count_if(is_delayed) / count_if(is_valid_for_delivery_delay_kpi) END
+        CASE WHEN count(*) FILTER (is_valid_for_delivery_delay_kpi) > 0 THEN
+            count(*) FILTER (is_delayed) / count(*) FILTER (is_valid_for_delivery_delay_kpi) END
             AS delivery_delay_rate
     FROM gold_fact_orders JOIN gold_dim_date ON date_day = order_purchase_date
     WHERE is_delivered GROUP BY year, quarter_label""", "gmv actual_payment")
@@ -90,9 +90,9 @@ def _(w):
 
 @query("bi_delay_vs_repeat", """
     SELECT is_delayed AS first_order_delayed, count(*) AS customers,
-        count_if(n > 1) AS repeat_customers,
+        count(*) FILTER (n > 1) AS repeat_customers,
         sum(order_avg_review_score::DECIMAL(12,8))::DOUBLE / count(order_avg_review_score)
-            AS avg_first_review_score, count_if(n > 1) / count(*) AS repeat_rate
+            AS avg_first_review_score, count(*) FILTER (n > 1) / count(*) AS repeat_rate
     FROM (SELECT *, count(*) OVER (PARTITION BY customer_unique_id) AS n,
             row_number() OVER (PARTITION BY customer_unique_id
                 ORDER BY order_purchase_timestamp, order_id) AS place

@@ -86,7 +86,8 @@ def _(w):
 @query("sink_temp_result", """
     SELECT 'by status' AS question, count(*) AS answer FROM
         (SELECT DISTINCT order_status FROM silver_orders) s
-    UNION ALL SELECT 'inconsistent', count_if(is_delivery_inconsistency) FROM silver_orders""")
+    UNION ALL SELECT 'inconsistent', count(*) FILTER (is_delivery_inconsistency)
+    FROM silver_orders""")
 def _(w):
     sinks.temp_result(w["silver_orders"], "kept_orders")
     n = F.count(F.lit(1)).alias("answer")
@@ -112,8 +113,8 @@ _KEY = ["order_id", "order_item_id"]
 @query("sink_constraint_check", """
     SELECT c || ' NOT NULL' AS constraint_name, n AS violations FROM (
         SELECT unnest(['order_id', 'price', 'freight_value']) AS c,
-            unnest([count_if(order_id IS NULL), count_if(price IS NULL),
-                    count_if(freight_value IS NULL)]) AS n FROM raw_order_items) x
+            unnest([count(*) FILTER (order_id IS NULL), count(*) FILTER (price IS NULL),
+                    count(*) FILTER (freight_value IS NULL)]) AS n FROM raw_order_items) x
     UNION ALL SELECT 'PRIMARY KEY (order_id, order_item_id)',
         count(*) - count(DISTINCT (order_id, order_item_id)) FROM raw_order_items""")
 def _(w):

@@ -194,8 +194,9 @@ VIEWS: dict[str, str] = {
         FROM gold_fact_order_reviews GROUP BY ALL""",
     "orders_by_month": """
         SELECT order_purchase_month AS report_month, count(*) AS delivered_orders,
-            count_if(is_valid_for_delivery_delay_kpi) AS delivery_delay_denominator,
-            count_if(is_delayed) AS delayed_orders, count_if(uses_installments) AS installment_orders
+            count(*) FILTER (is_valid_for_delivery_delay_kpi) AS delivery_delay_denominator,
+            count(*) FILTER (is_delayed) AS delayed_orders,
+            count(*) FILTER (uses_installments) AS installment_orders
         FROM gold_fact_orders WHERE is_delivered AND order_purchase_month IS NOT NULL
         GROUP BY ALL""",
     "dash_kpi_monthly": """
@@ -226,7 +227,7 @@ VIEWS: dict[str, str] = {
     "dash_category_monthly": """
         SELECT *, row_number() OVER (PARTITION BY report_month
             ORDER BY category_gmv DESC NULLS FIRST, category NULLS FIRST,
-                category_label NULLS FIRST) AS category_rank
+                category_label NULLS FIRST)::INT AS category_rank
         FROM (SELECT order_purchase_month AS report_month,
                 product_category_name_english AS category,
                 product_category_label AS category_label, sum(line_gmv) AS category_gmv,
@@ -255,13 +256,15 @@ VIEWS: dict[str, str] = {
                 AS repeat_purchase_rate
         FROM (
             SELECT report_month, as_of_timestamp, unnest([
-                {c: 'lifetime_repeat_purchase', t: count(*), r: count_if(ever > 1)},
-                {c: 'last_3m_returning_customer', t: count_if(in3 > 0),
-                    r: count_if(in3 > 0 AND ever > in3)},
-                {c: 'last_6m_returning_customer', t: count_if(in6 > 0),
-                    r: count_if(in6 > 0 AND ever > in6)},
-                {c: 'last_3m_repeat_purchase', t: count_if(in3 > 0), r: count_if(in3 > 1)},
-                {c: 'last_6m_repeat_purchase', t: count_if(in6 > 0), r: count_if(in6 > 1)}
+                {c: 'lifetime_repeat_purchase', t: count(*), r: count(*) FILTER (ever > 1)},
+                {c: 'last_3m_returning_customer', t: count(*) FILTER (in3 > 0),
+                    r: count(*) FILTER (in3 > 0 AND ever > in3)},
+                {c: 'last_6m_returning_customer', t: count(*) FILTER (in6 > 0),
+                    r: count(*) FILTER (in6 > 0 AND ever > in6)},
+                {c: 'last_3m_repeat_purchase', t: count(*) FILTER (in3 > 0),
+                    r: count(*) FILTER (in3 > 1)},
+                {c: 'last_6m_repeat_purchase', t: count(*) FILTER (in6 > 0),
+                    r: count(*) FILTER (in6 > 1)}
             ]) AS m FROM person_months GROUP BY report_month, as_of_timestamp
         ) x""",
     "dash_retention_snapshot": """

@@ -68,8 +68,8 @@ SQL = {
     "raw_products": """
         SELECT p_partkey AS product_id,
                CASE WHEN p_partkey % 20 <> 0 THEN lower(p_type) END AS product_category_name,
-               length(p_name) AS product_name_lenght,
-               length(p_brand) AS product_description_lenght,
+               CAST(length(p_name) AS INT) AS product_name_lenght,
+               CAST(length(p_brand) AS INT) AS product_description_lenght,
                CASE WHEN p_partkey % 20 <> 0 THEN p_size % 5 END AS product_photos_qty,
                CAST(p_size * 100 AS DECIMAL(18,2)) AS product_weight_g,
                CAST(p_size AS DECIMAL(18,2)) AS product_length_cm,
