@@ -9,10 +9,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind import schema
 from tradewind.forecast import features as X
 from tradewind.forecast import model as M
 from tradewind.forecast import recursive as R
 from tradewind.forecast.run import Forecast, Settings
+from tradewind.sources import readers, sinks
 
 DAY0 = dt.date(2018, 1, 1)
 SMALL = {"n_estimators": [5, 10], "max_depth": [3], "min_samples_leaf": [2]}
@@ -207,6 +209,23 @@ def test_short_history_is_an_error(spark, run):
         R.forecast(X.daily_spine(short), run.search.model, 2)
 
 
+def test_single_series_tables_survive_csv(daily, tmp_path):
+    total = daily.groupBy("order_date").agg(
+        F.sum("orders").alias("orders"), F.sum("gmv").alias("gmv"),
+        F.sum("unique_customers").alias("unique_customers"))
+    one = Forecast(total, Settings(
+        test_months=1, horizon_days=2, splits=2, run_id="r2",
+        grid={"n_estimators": [3], "max_depth": [2], "min_samples_leaf": [2]}))
+    for name, df in one.tables().items():
+        assert df.columns == schema.ML[name].names
+        path = sinks.csv_export(df, str(tmp_path / name))
+        back = readers.ml_csv(df.sparkSession, name, path)
+        assert back.schema == schema.ML[name]
+        broken = sinks.constraint_violations(back, schema.ML[name].names, schema.ML_KEYS[name])
+        assert broken.filter("violations > 0").count() == 0
+        assert back.count() == df.count() > 0
+
+
 def test_output_tables(run, tmp_path):
     tables = run.write(str(tmp_path))
     performance = tables["ml_rf_model_performance"].collect()

@@ -33,7 +33,11 @@ class Settings:
 
 
 class Forecast:
-    """One run over a daily series frame (`daily_metrics`)."""
+    """One run over a daily series frame (`daily_metrics`).
+
+    Without a `series` column there is one series, and the output tables have
+    exactly the declared columns; with it they carry the series as well.
+    """
 
     def __init__(self, daily: DataFrame, settings: Settings | None = None):
         self.settings = settings or Settings()
@@ -41,6 +45,7 @@ class Forecast:
         self.run_id = self.settings.run_id or uuid.uuid4().hex
         self.generated_at = dt.datetime.now(dt.timezone.utc)
         self.daily = daily
+        self.by_series = ["series"] if "series" in daily.columns else []
         self.spine = settled(X.daily_spine(daily), "daily-spine")
         rows = M.assembled(X.training_rows(X.add_features(self.spine)))
         self.rows = settled(rows, "training-rows")
@@ -131,19 +136,24 @@ class Forecast:
     def tables(self) -> dict[str, DataFrame]:
         """The five output tables by name."""
         days = self.forecast_daily()
-        return {
+        made = {
             "ml_daily_business_metrics": self.daily,
             "ml_forecast_result_daily": days,
             "ml_forecast_result_monthly": R.monthly(days),
             "ml_rf_model_performance": self.performance(),
             "ml_rf_feature_importance": self.importance(),
         }
+        return {
+            name: df.select(
+                *[c for c in self.by_series if c in df.columns], *schema.ML[name].names)
+            for name, df in made.items()
+        }
 
     def write(self, folder: str) -> dict[str, DataFrame]:
         """Store the tables after checking keys and NULLs."""
         out = {}
         for name, df in self.tables().items():
-            key = [*schema.ML_KEYS[name], *(["series"] if "series" in df.columns else [])]
+            key = schema.ML_KEYS[name] + [c for c in self.by_series if c in df.columns]
             out[name] = sinks.checked_overwrite(
                 df, f"{folder.rstrip('/')}/{name}", schema.ML[name].names, key)
         return out

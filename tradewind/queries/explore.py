@@ -71,9 +71,9 @@ def _(w):
 
 
 @query("eda_order_count_distribution",
-       f"SELECT n AS delivered_orders, count(*) AS customers FROM {_PER} WHERE n <= 10 GROUP BY 1")
+       f"SELECT n AS delivered_orders, count(*) AS customers FROM {_PER} GROUP BY 1")
 def _(w):
-    return X.order_count_distribution(w["gold_customer_delivered_orders"], most=10)
+    return X.order_count_distribution(w["gold_customer_delivered_orders"])
 
 
 _GMV = """(SELECT customer_unique_id, sum(order_gmv) AS customer_gmv FROM gold_fact_orders
@@ -125,10 +125,9 @@ def _(w):
         sum(category_order_count)::BIGINT AS total_orders,
         sum(category_gmv)::DOUBLE / sum(category_order_count) AS category_aov,
         sum(category_gmv)::DOUBLE / 1000000 AS total_gmv_million
-    FROM dash_category_monthly WHERE category IS NOT NULL GROUP BY category
-    ORDER BY total_gmv DESC, category LIMIT 15""", "total_gmv")
+    FROM dash_category_monthly WHERE category IS NOT NULL GROUP BY category""", "total_gmv")
 def _(w):
-    return X.category_rollup(w["dash_category_monthly"], top=15)
+    return X.category_rollup(w["dash_category_monthly"])
 
 
 @query("eda_unknown_share", """
