@@ -77,3 +77,22 @@ def test_readiness_scans_each_table_once(w):
     text = plan(quality.feature_readiness(w.raw))
     assert text.count("lineitem.parquet") == 2  # items and payments
     assert text.count("events.parquet") == 1
+
+
+def test_heavy_partition_is_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tradewind.sources import sinks
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "100KB")
+    try:
+        heavy = F.when(F.col("id") % 3 == 0, "2018-01").otherwise(
+            F.concat(F.lit("2017-"), (F.col("id") % 12).cast("string")))
+        df = spark.range(0, 300_000, numPartitions=8).select(
+            "id", F.xxhash64("id").alias("x"), heavy.alias("m"))
+        stored = sinks.overwrite(df, str(tmp_path / "t"), "m")
+        assert stored.count() == 300_000
+        assert len(list((tmp_path / "t" / "m=2018-01").glob("*.parquet"))) > 2
+    finally:
+        spark.conf.unset(key)
