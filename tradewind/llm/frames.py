@@ -7,8 +7,11 @@ own, so other columns of any name never clash with theirs.
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +22,20 @@ from tradewind.session import checkpoint_root
 BLOCK_CHARS = 8_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip",
+                                      package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

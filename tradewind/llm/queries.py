@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe
-from tradewind.llm.frames import table
+from tradewind.llm import bpe, simhash
+from tradewind.llm.frames import ship, table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -15,8 +15,12 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def query(job):
-    JOBS[job.__name__] = job
-    return job
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return job(spark, folder)
+
+    JOBS[job.__name__] = run
+    return run
 
 
 @query
@@ -25,3 +29,8 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     return bpe.digests(table(spark, folder, "documents"), vocabularies.path(RANKS),
                        vocabularies.PATTERN)
+
+
+@query
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.report(table(spark, folder, "documents"))
