@@ -165,7 +165,7 @@ class Encoder:
     by the pattern and merged once, and only texts with other spacing are split whole.
     """
 
-    def __init__(self, vocab: Vocabulary, pattern: str, keep: int = 1_000_000):
+    def __init__(self, vocab: Vocabulary, pattern: str, keep: int = 300_000):
         import regex
 
         self.vocab, self.split, self.keep = vocab, regex.compile(pattern).findall, keep
@@ -246,19 +246,24 @@ def encoder(lines: bytes, pattern: str) -> Encoder:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) for every row. The rank file is read on the driver and
-    broadcast: a vocabulary is a fixed file that does not grow with the data."""
+           text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) for every row and, if asked for, `decoded binary`, what the
+    ids stand for. The rank file is read on the driver and broadcast: a vocabulary is a
+    fixed file that does not grow with the data."""
     with open(ranks_path, "rb") as f:
         lines = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoded = encoder(lines.value, pattern)
         for block in blocks(batches):
-            yield pd.DataFrame({"doc_id": block["doc_id"].array,
-                                "ids": encoded(block["text"].tolist())})
+            ids = encoded(block["text"].tolist())
+            out = pd.DataFrame({"doc_id": block["doc_id"].array, "ids": ids})
+            if decoded:
+                out["decoded"] = [encoded.vocab.decode(x) for x in ids]
+            yield out
 
-    return texts(docs, id_col, text_col).mapInPandas(run, "doc_id long, ids array<int>")
+    return texts(docs, id_col, text_col).mapInPandas(
+        run, "doc_id long, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -277,7 +282,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    both = decode(encode(docs, ranks_path, pattern), ranks_path)
+    both = encode(docs, ranks_path, pattern, decoded=True)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tradewind.session import checkpoint_root
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 
 
 _shipped: set[str] = set()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, simhash
+from tradewind.llm import bpe, quality, simhash
 from tradewind.llm.frames import ship, table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,8 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.report(table(spark, folder, "documents"))
+
+
+@query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
