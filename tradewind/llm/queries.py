@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, quality, simhash
+from tradewind.llm import bpe, quality, secrets, simhash
 from tradewind.llm.frames import ship, table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
