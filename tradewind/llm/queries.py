@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, pii, quality, secrets, simhash
+from tradewind.llm import bpe, pii, quality, secrets, sharding, simhash
 from tradewind.llm.frames import ship, table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
+
+
+@query
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.report(table(spark, folder, "documents"), 40)
