@@ -262,8 +262,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 out["decoded"] = [encoded.vocab.decode(x) for x in ids]
             yield out
 
-    return texts(docs, id_col, text_col).mapInPandas(
-        run, "doc_id long, ids array<int>" + ", decoded binary" * decoded)
+    # As text, since pandas would turn ids beside a null into floats.
+    rows = texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("string"))
+    return rows.mapInPandas(
+        run, "doc_id string, ids array<int>" + ", decoded binary" * decoded).withColumn(
+            "doc_id", F.col("doc_id").cast("long"))
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, pii, quality, secrets, sharding, simhash
+from tradewind.llm import bpe, decontaminate, pii, quality, secrets, sharding, simhash
 from tradewind.llm.frames import ship, table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,9 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.report(table(spark, folder, "documents"), 40)
+
+
+@query
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"),
+                                 table(spark, folder, "benchmark"))
