@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, decontaminate, pii, quality, secrets, sharding, simhash
+from tradewind.llm import bpe, decontaminate, linededup, pii, quality, secrets, sharding, simhash
 from tradewind.llm.frames import ship, table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(table(spark, folder, "documents"),
                                  table(spark, folder, "benchmark"))
+
+
+@query
+def op8_linededup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.report(table(spark, folder, "documents"))
