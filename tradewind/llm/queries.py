@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, decontaminate, linededup, pii, quality, secrets, sharding, simhash
+from tradewind.llm import (
+    bpe, decontaminate, linededup, pii, quality, secrets, sharding, simhash, substrings,
+)
 from tradewind.llm.frames import ship, table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +67,8 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_linededup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.report(table(spark, folder, "documents"))
+
+
+@query
+def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated(table(spark, folder, "documents"))
