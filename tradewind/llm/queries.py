@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.llm import (
-    bpe, decontaminate, linededup, pii, quality, secrets, sharding, simhash, substrings,
+    bpe, decontaminate, linededup, lm, pii, quality, secrets, sharding, simhash, substrings,
 )
 from tradewind.llm.frames import ship, table
 
@@ -72,3 +72,11 @@ def op8_linededup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeated(table(spark, folder, "documents"))
+
+
+@query
+def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers as vocabularies
+
+    return lm.scores(table(spark, folder, "documents"), vocabularies.path(RANKS),
+                     vocabularies.PATTERN)
