@@ -89,7 +89,7 @@ def cut_off(counts: DataFrame, most: int) -> int:
 
 
 def based(docs: DataFrame, counts: DataFrame, end_count: int, ranks: bytes, pattern: str,
-          most: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+          most: int) -> tuple[DataFrame, DataFrame]:
     """Rows (uid, doc_id, held_out, ids, n_tokens, n_known, log_sum) by the frequent words,
     and (uid, n_known, log_sum) by the others, where a row has any."""
     spark, cut = docs.sparkSession, cut_off(counts, most)
@@ -207,7 +207,7 @@ def scores(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ends = rows.filter("not held_out").count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = total + ends, distinct + (ends > 0)
-    based_rows, rare = based(rows, counts, ends, lines, pattern)
+    based_rows, rare = based(rows, counts, ends, lines, pattern, FREQUENT)
     train = based_rows.filter("not held_out")
     once_each = id_counts(train, end + 1)
     coding = Coding(once_each, id_counts(train, end + 1, leaders(once_each)))
