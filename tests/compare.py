@@ -77,6 +77,7 @@ def main(argv: list[str]) -> int:
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
+    session.use_local_folder(spark)
     con, bad = duck(folder), 0
     jobs, sql = e.queries(), e.oracle_sql()
     for name, job in jobs.items():

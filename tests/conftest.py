@@ -17,5 +17,7 @@ def spark():
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
+    session.use_local_folder(spark)
     yield spark
+    session.clear(spark)
     spark.stop()

@@ -194,19 +194,57 @@ def test_forecast_equals_full_recomputation(run, daily):
         inputs = R.step_features(F.date_add("last_date", 1))
         rows = state.select("series", *[inputs[f].cast("double").alias(f) for f in X.FEATURES])
         from pyspark.ml.feature import VectorAssembler
-        scored = run.search.model.transform(
+        scored = run.model.transform(
             VectorAssembler(inputCols=X.FEATURES, outputCol="features").transform(rows))
         for r in scored.collect():
             assert max(0.0, r["prediction"]) == pytest.approx(
                 made[r["series"], step]["forecast_gmv"], rel=1e-9)
 
 
-def test_short_history_is_an_error(spark, run):
-    short = spark.createDataFrame(
-        series("a", 60, 1) + [("new", DAY0 + dt.timedelta(55), 3, Decimal("9.00"), 3)],
-        "series string, order_date date, orders long, gmv decimal(18,2), unique_customers long")
-    with pytest.raises(ValueError, match="new"):
-        R.forecast(X.daily_spine(short), run.search.model, 2)
+def test_unusable_series_are_listed(spark, run):
+    schema_text = ("series string, order_date date, orders long, gmv decimal(18,2), "
+                   "unique_customers long")
+    new = [("new", DAY0 + dt.timedelta(55), 3, Decimal("9.00"), 3)]
+    idle = [("idle", DAY0 + dt.timedelta(i), 0, Decimal(0), 0) for i in range(60)]
+    mixed = X.daily_spine(spark.createDataFrame(series("a", 60, 1) + new + idle, schema_text))
+    assert {r["series"] for r in R.forecast(mixed, run.model, 2).collect()} == {"a"}
+    assert {r["series"]: r["reason"] for r in R.rejects(mixed).collect()} == {
+        "new": "days of history: 5 of 28", "idle": "no recent day with positive orders and GMV"}
+    with pytest.raises(ValueError, match="no series"):
+        R.forecast(X.daily_spine(spark.createDataFrame(new, schema_text)), run.model, 2)
+
+
+def test_too_few_days_for_the_folds(spark):
+    days = spark.createDataFrame([(DAY0 + dt.timedelta(i),) for i in range(4)], "order_date date")
+    with pytest.raises(Exception, match="4 training days are too few for 5 folds"):
+        M.fold_bounds(days, 5).collect()
+    assert M.fold_bounds(days, 3).count() == 3
+
+
+def test_smaller_forests_are_parts_of_the_largest(run):
+    rows = run.train
+    whole = M.fit(rows, {"n_estimators": 6, "max_depth": 3, "min_samples_leaf": 2}, sizes=[2, 6])
+    first = M.fit(rows, {"n_estimators": 2, "max_depth": 3, "min_samples_leaf": 2}, sizes=[2, 6])
+    both = whole.by_size(rows, {"few": 2, "all": 6}).select("order_date", "series", "few", "all")
+    alone = {(r["series"], r["order_date"]): r["prediction"] for r in first.transform(rows).collect()}
+    assert all(r["few"] == alone[r["series"], r["order_date"]] for r in both.collect())
+    assert whole.trees == 6 and sum(whole.importances()) == pytest.approx(1)
+
+
+def test_a_violation_changes_no_stored_table(daily, tmp_path):
+    small = {"n_estimators": [2], "max_depth": [2], "min_samples_leaf": [2]}
+    once = Forecast(daily, Settings(test_months=1, horizon_days=2, splits=2, run_id="r3", grid=small))
+    once.write(str(tmp_path))
+    before = {t: once.spark.read.parquet(f"{tmp_path}/{t}").collect() for t in schema.ML}
+    again = Forecast(daily, Settings(test_months=1, horizon_days=2, splits=2, run_id="r4", grid=small))
+    doubled = again.importance()
+    again.importance = lambda: doubled.union(doubled)
+    with pytest.raises(ValueError, match="ml_rf_feature_importance"):
+        again.write(str(tmp_path))
+    for table, rows in before.items():
+        assert once.spark.read.parquet(f"{tmp_path}/{table}").collect() == rows
+        assert [f.dataType for f in again.spark.read.parquet(f"{tmp_path}/{table}").schema.fields
+                if f.name != "series"] == [f.dataType for f in schema.ML[table].fields]
 
 
 def test_single_series_tables_survive_csv(daily, tmp_path):

@@ -26,6 +26,7 @@ GRID = {
     "min_samples_leaf": [2, 3, 5],
 }
 SEED = 42
+MAX_BINS = 64
 EPSILON = 2.220446049250313e-16
 
 
@@ -45,14 +46,56 @@ def assembled(rows: DataFrame) -> DataFrame:
         "series", "order_date", "gmv", "label", "features")
 
 
-def fit(train: DataFrame, setting: dict, seed: int = SEED) -> RandomForestRegressionModel:
-    """A forest that considers every feature at every split."""
-    return RandomForestRegressor(
-        featuresCol="features", labelCol="label", predictionCol="prediction",
-        numTrees=setting["n_estimators"], maxDepth=setting["max_depth"],
-        minInstancesPerNode=setting["min_samples_leaf"], featureSubsetStrategy="all",
-        maxBins=64, seed=seed,
-    ).fit(train)
+@dataclass
+class Forest:
+    """Trees fitted in parts: (model, number of trees) each.
+
+    A forest of n trees is the first parts of any larger one, so one set of parts gives
+    the predictions for every size in a grid.
+    """
+
+    parts: list[tuple[RandomForestRegressionModel, int]]
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """`rows` with `prediction`, the mean over all trees."""
+        return self.by_size(rows, {"prediction": self.trees})
+
+    @property
+    def trees(self) -> int:
+        return sum(n for _, n in self.parts)
+
+    def by_size(self, rows: DataFrame, columns: dict[str, int]) -> DataFrame:
+        """`rows` with a prediction column for each number of trees asked for."""
+        out, names = rows, []
+        for i, (model, _) in enumerate(self.parts):
+            names.append(f"_part{i}")
+            out = model.copy().setPredictionCol(names[-1]).transform(out)
+        made, total, trees = {}, F.lit(0.0), 0
+        for name, (_, n) in zip(names, self.parts):
+            total, trees = total + F.col(name) * n, trees + n
+            made[trees] = total / trees
+        return out.select(*rows.columns, *[made[n].alias(c) for c, n in columns.items()])
+
+    def importances(self) -> list[float]:
+        total = sum(n * model.featureImportances.toArray() for model, n in self.parts)
+        return (total / total.sum()).tolist() if total.sum() else total.tolist()
+
+
+def fit(train: DataFrame, setting: dict, seed: int = SEED, max_bins: int = MAX_BINS,
+        sizes: list[int] | None = None) -> Forest:
+    """A forest that considers every feature at every split. `max_bins` bounds the split
+    points per feature; `sizes` are all numbers of trees that predictions are wanted for."""
+    sizes = sorted({*(sizes or []), setting["n_estimators"]})
+    sizes = sizes[: sizes.index(setting["n_estimators"]) + 1]
+    parts = []
+    for i, (before, size) in enumerate(zip([0, *sizes], sizes)):
+        parts.append((RandomForestRegressor(
+            featuresCol="features", labelCol="label", predictionCol="prediction",
+            numTrees=size - before, maxDepth=setting["max_depth"],
+            minInstancesPerNode=setting["min_samples_leaf"], featureSubsetStrategy="all",
+            maxBins=max_bins, seed=seed + i,
+        ).fit(train), size - before))
+    return Forest(parts)
 
 
 # --- splits ------------------------------------------------------------------
@@ -103,14 +146,18 @@ def fold_bounds(train: DataFrame, splits: int | None = None) -> DataFrame:
     Days are consecutive, so a fold is a pair of dates.
     """
     k = F.lit(splits) if splits else splits_for(F.col("n"))
+    short = F.raise_error(F.concat(
+        F.col("n").cast("string"), F.lit(" training days are too few for "),
+        F.col("k").cast("string"), F.lit(" folds"))).cast("int")
     sized = _day_count(train).withColumn("k", k).withColumn(
-        "size", C.int_div(F.col("n"), F.col("k") + 1).cast("int"))
+        "size", F.when(F.col("n") > F.col("k"), C.int_div(F.col("n"), F.col("k") + 1).cast("int"))
+        .otherwise(short))
     folds = sized.withColumn("fold", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     return folds.select(
         "fold", "k",
         F.expr("date_add(first, n - (k - fold) * size)").alias("test_start"),
         F.expr("date_add(first, n - (k - fold) * size + size)").alias("test_end"),
-    ).filter(F.col("test_start") < F.col("test_end"))
+    )
 
 
 def fold_sizes(train: DataFrame, splits: int | None = None) -> DataFrame:
@@ -157,7 +204,7 @@ class Search:
     splits: int
     best: dict
     best_rmse: float
-    model: RandomForestRegressionModel
+    model: Forest
 
     def as_rows(self, spark) -> DataFrame:
         """(setting_no, setting, fold, rmse, mean_rmse, is_best)."""
@@ -179,34 +226,45 @@ def _means(scores) -> dict[str, float]:
 
 def grid_search(
     train: DataFrame, grid: dict[str, list] | None = None, splits: int | None = None,
-    parallel: int = 4, seed: int = SEED,
+    parallel: int = 4, seed: int = SEED, max_bins: int = MAX_BINS, fitted: Forest | None = None,
 ) -> Search:
     """Smallest mean RMSE over time-ordered folds; ties go to the first setting.
 
-    `train` is an assembled, settled frame. Fits of different settings and folds
-    are independent jobs, submitted from a few threads.
+    `train` is an assembled, settled frame. All settings of one depth and leaf size share
+    the trees of the largest; such fits, for each fold, are independent jobs, submitted
+    from a few threads. `fitted` is the forest of a grid's only setting, if there is one.
     """
     spark = train.sparkSession
+    grid = grid or GRID
     folds = fold_bounds(train, splits).orderBy("fold").collect()  # at most five rows
+    sizes = sorted(set(grid["n_estimators"]))
 
     def score(task):
         setting, fold = task
         known = train.filter(F.col("order_date") < F.lit(fold["test_start"]))
         unseen = train.filter((F.col("order_date") >= F.lit(fold["test_start"]))
                               & (F.col("order_date") < F.lit(fold["test_end"])))
-        predicted = fit(known, setting, seed).transform(unseen)
-        return setting, fold["fold"], regression_metrics(predicted).first()["rmse"]
-
-    tasks = [(s, f) for s in settings(grid or GRID) for f in folds]
+        forest = fit(known, setting, seed, max_bins, sizes)
+        gaps = forest.by_size(unseen.select("label", "features"), {f"p{n}": n for n in sizes})
+        row = gaps.agg(*[F.sqrt(F.avg(F.pow(F.col(f"p{n}") - F.col("label"), 2))).alias(f"p{n}")
+                         for n in sizes]).first()
+        return [({**setting, "n_estimators": n}, fold["fold"], row[f"p{n}"]) for n in sizes]
+
+    shapes = settings({**grid, "n_estimators": sizes[-1:]})
+    tasks = [(s, f) for s in shapes for f in folds]
     with ThreadPool(min(parallel, len(tasks))) as pool:
-        scores = pool.map(inheritable_thread_target(spark)(score), tasks, chunksize=1)
+        found = pool.map(inheritable_thread_target(spark)(score), tasks, chunksize=1)
+    by_key = {(str(s), fold): (s, fold, rmse) for part in found for s, fold, rmse in part}
+    ordered = settings(grid)
+    scores = [by_key[str(s), f["fold"]] for s in ordered for f in folds]
     means = _means(scores)
-    best = min(settings(grid or GRID), key=lambda s: means[str(s)])
-    return Search(scores, len(folds), best, means[str(best)], fit(train, best, seed))
+    best = min(ordered, key=lambda s: means[str(s)])
+    model = fitted or fit(train, best, seed, max_bins, sizes)
+    return Search(scores, len(folds), best, means[str(best)], model)
 
 
-def importance(model: RandomForestRegressionModel) -> list[tuple[int, str, float]]:
+def importance(model: Forest) -> list[tuple[int, str, float]]:
     """(rank, feature, importance), most important first."""
-    pairs = zip(FEATURES, model.featureImportances.toArray().tolist())
+    pairs = zip(FEATURES, model.importances())
     ordered = sorted(pairs, key=lambda p: -p[1])
     return [(i, name, value) for i, (name, value) in enumerate(ordered, start=1)]

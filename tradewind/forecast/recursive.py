@@ -80,19 +80,38 @@ def _push(array: str, value: Column) -> Column:
     return F.concat(F.slice(F.col(array), 2, DEPTH - 1), F.array(value))
 
 
+def _state(spine: DataFrame, window: int) -> DataFrame:
+    return initial_state(spine).join(assumptions(spine, window), "series", "left")
+
+
+def _reason() -> Column:
+    """Why a series cannot be forecast; null if it can."""
+    return (F.when(F.size("gmv") < DEPTH, F.concat(
+        F.lit("days of history: "), F.size("gmv").cast("string"), F.lit(f" of {DEPTH}")))
+        .when(F.col("aov").isNull(), F.lit("no recent day with positive orders and GMV")))
+
+
+def rejects(spine: DataFrame, window: int = 90) -> DataFrame:
+    """(series, reason) of the series that `forecast` leaves out."""
+    return _state(spine, window).select("series", _reason().alias("reason")).filter(
+        "reason IS NOT NULL")
+
+
 def forecast(
     spine: DataFrame, model, horizon: int = 30, window: int = 90, settle_every: int = 5
 ) -> DataFrame:
     """(series, order_date, forecast_step, forecast_gmv, forecast_orders,
-    forecast_daily_unique_customers) for the days after the last one."""
-    state = initial_state(spine).join(assumptions(spine, window), "series", "left")
+    forecast_daily_unique_customers) for the days after the last one.
+
+    Series with a short history or without a recent sale have no rows, see `rejects`; it is
+    an error if that leaves none.
+    """
+    state = _state(spine, window).filter(_reason().isNull())
     state = settled(state.withColumn("made", F.array().cast(
         "array<struct<step:int,day:date,g:double,o:double,c:double>>")), "forecast-state")
-    unusable = state.filter((F.size("gmv") < DEPTH) | F.col("aov").isNull()).limit(1).collect()
-    if unusable:
-        raise ValueError(
-            f"series {unusable[0]['series']!r} needs {DEPTH} days of history and a recent day "
-            "with positive orders and GMV")
+    if state.isEmpty():
+        raise ValueError(f"no series has {DEPTH} days of history and a recent day with "
+                         "positive orders and GMV")
     # The same expressions serve every step: the state holds its own last day.
     vector = VectorAssembler(inputCols=X.FEATURES, outputCol="features")
     day = F.date_add("last_date", 1)

@@ -29,6 +29,7 @@ class Settings:
     splits: int | None = None
     seed: int = M.SEED
     parallel: int = 4
+    max_bins: int = M.MAX_BINS
     run_id: str | None = None
 
 
@@ -51,20 +52,38 @@ class Forecast:
         self.rows = settled(rows, "training-rows")
         self.train, self.test = M.train_test_split(self.rows, self.settings.test_months)
         self._search: M.Search | None = None
+        self._model: M.Forest | None = None
+
+    @property
+    def _checked_train(self) -> DataFrame:
+        M.checked_extent(self.train, "train")
+        M.checked_extent(self.test, "test")
+        return settled(self.train, "train")
 
     @property
     def search(self) -> M.Search:
         if self._search is None:
             s = self.settings
-            M.checked_extent(self.train, "train")
-            M.checked_extent(self.test, "test")
             self._search = M.grid_search(
-                settled(self.train, "train"), s.grid, s.splits, s.parallel, s.seed)
+                self._checked_train, s.grid, s.splits, s.parallel, s.seed, s.max_bins, self._model)
+            self._model = self._search.model
         return self._search
 
+    @property
+    def model(self) -> M.Forest:
+        """The chosen forest. With a single setting there is nothing to choose: it is fitted
+        once, and folds are only run by whoever asks for their score."""
+        if self._model is None:
+            s, all_settings = self.settings, M.settings(self.settings.grid)
+            if len(all_settings) == 1:
+                self._model = M.fit(self._checked_train, all_settings[0], s.seed, s.max_bins)
+            else:
+                return self.search.model
+        return self._model
+
     def predictions(self) -> DataFrame:
         """The holdout with its predictions."""
-        return self.search.model.transform(self.test).select(
+        return self.model.transform(self.test).select(
             "series", "order_date", "gmv", "prediction")
 
     def evaluation(self) -> DataFrame:
@@ -124,17 +143,21 @@ class Forecast:
 
     def importance(self) -> DataFrame:
         rows = self.spark.createDataFrame(
-            M.importance(self.search.model), "rank int, feature string, importance double")
+            M.importance(self.model), "rank int, feature string, importance double")
         return self._stamped(rows).select(
             "forecast_run_id", "generated_at", "model", "rank", "feature", "importance")
 
     def forecast_daily(self) -> DataFrame:
         s = self.settings
-        made = R.forecast(self.spine, self.search.model, s.horizon_days, s.assumption_window)
+        made = R.forecast(self.spine, self.model, s.horizon_days, s.assumption_window)
         return self._stamped(settled(made, "forecast-daily"))
 
+    def rejects(self) -> DataFrame:
+        """(series, reason) of the series without a forecast."""
+        return R.rejects(self.spine, self.settings.assumption_window)
+
     def tables(self) -> dict[str, DataFrame]:
-        """The five output tables by name."""
+        """The five output tables by name, with their declared columns and types."""
         days = self.forecast_daily()
         made = {
             "ml_daily_business_metrics": self.daily,
@@ -145,15 +168,22 @@ class Forecast:
         }
         return {
             name: df.select(
-                *[c for c in self.by_series if c in df.columns], *schema.ML[name].names)
+                *[c for c in self.by_series if c in df.columns],
+                *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.ML[name].fields])
             for name, df in made.items()
         }
 
     def write(self, folder: str) -> dict[str, DataFrame]:
-        """Store the tables after checking keys and NULLs."""
-        out = {}
-        for name, df in self.tables().items():
+        """Store the tables, and `ml_forecast_rejects`. The keys and NULLs of all of them are
+        checked before the first is replaced."""
+        ready = {name: settled(df, name) for name, df in self.tables().items()}
+        broken = []
+        for name, df in ready.items():
             key = schema.ML_KEYS[name] + [c for c in self.by_series if c in df.columns]
-            out[name] = sinks.checked_overwrite(
-                df, f"{folder.rstrip('/')}/{name}", schema.ML[name].names, key)
-        return out
+            broken += [(name, *row) for row in
+                       sinks.violations(df, schema.ML[name].names, key)]
+        if broken:
+            raise ValueError(f"constraints violated: {broken}")
+        ready["ml_forecast_rejects"] = self.rejects()
+        return {name: sinks.overwrite(df, f"{folder.rstrip('/')}/{name}")
+                for name, df in ready.items()}

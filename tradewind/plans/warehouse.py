@@ -54,9 +54,13 @@ PARTITIONED = {
 }
 
 
+# Sorted inside their files by the key of most lookups.
+SORTED = {name: "order_id" for name in [*PARTITIONED, "gold_fact_orders", "silver_orders"]}
+
+
 class Warehouse:
-    """Tables by name. Derived ones are built on first use and stay lazy until
-    `materialise` writes them."""
+    """Tables by name. Derived ones are built on first use, most of them
+    lazily (global ranks store a split), and read back once `materialise` has written them."""
 
     def __init__(self, spark: SparkSession, open_raw: Callable[[str], DataFrame]):
         self.spark = spark
@@ -103,6 +107,6 @@ class Warehouse:
         written ones, so a layer is computed once and lineage stays short."""
         for name in names or TABLES:
             self._tables[name] = sinks.overwrite(
-                self[name], f"{folder.rstrip('/')}/{name}", PARTITIONED.get(name))
+                self[name], f"{folder.rstrip('/')}/{name}", PARTITIONED.get(name), SORTED.get(name))
             self._stored.add(name)
         return self

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind import session
 from tradewind.plans.warehouse import Warehouse
 from tradewind.queries import views
 
@@ -32,7 +33,9 @@ def query(name: str, sql: str | None = None, money: str = ""):
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """The job's result. The session gets `session.SETTINGS`, which the lazy result needs
+    until it has run; so they stay."""
+    session.apply(spark)
     df = JOBS[name](Warehouse.from_testdata(spark, folder))
     return df.select(*[
         F.col(f"`{f.name}`").cast("double").alias(f.name)

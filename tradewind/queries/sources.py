@@ -9,27 +9,78 @@ from pyspark.sql import types as T
 from tradewind import schema
 from tradewind.operators.quality import ORDER_STATUSES, union
 from tradewind.queries import query
-from tradewind.session import scratch_path
+from tradewind.session import scratch_path, settled
 from tradewind.sources import readers, sinks
 
 
-@query("src_csv_typed", """
-    SELECT review_id::VARCHAR AS review_id, order_id::VARCHAR AS order_id,
-        * EXCLUDE (review_id, order_id) FROM raw_order_reviews""")
-def _(w):
-    path = sinks.csv_export(w["raw_order_reviews"], scratch_path(w.spark, "reviews-csv"))
-    return readers.raw_csv(w.spark, "raw_order_reviews", path)
+# What a column holds, in one exact number: sums, seconds, or the hashed text.
+def _measure(kind: T.DataType, c: str, spark: bool) -> str:
+    if isinstance(kind, T.StringType):
+        head = f"substr(md5(CAST({c} AS {'STRING' if spark else 'VARCHAR'})), 1, 7)"
+        return f"CAST(conv({head}, 16, 10) AS BIGINT)" if spark else f"CAST('0x' || {head} AS BIGINT)"
+    if isinstance(kind, T.TimestampNTZType):
+        return (f"datediff(CAST({c} AS DATE), DATE'1970-01-01')" if spark
+                else f"date_diff('day', DATE '1970-01-01', CAST({c} AS DATE))")
+    if isinstance(kind, T.DateType):
+        return (f"datediff({c}, DATE'1970-01-01')" if spark
+                else f"date_diff('day', DATE '1970-01-01', {c})")
+    return f"CAST({c} AS DECIMAL(28,4))"
+
+
+def _contents(table: str, df, columns: T.StructType):
+    """(table_name, column_name, rows, filled, total) of a table, one row a column."""
+    wide = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, f in enumerate(columns) for x in (
+        F.count(f.name).alias(f"f{i}"),
+        F.sum(F.expr(_measure(f.dataType, f.name, True))).cast("double").alias(f"t{i}"))])
+    return wide.select(F.explode(F.array(*[F.struct(
+        F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"), F.col("n").alias("rows"),
+        F.col(f"f{i}").alias("filled"), F.col(f"t{i}").alias("total"))
+        for i, f in enumerate(columns)])).alias("r")).select("r.*")
+
+
+def _contents_sql(table: str, columns: T.StructType) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, count(*) AS rows, "
+        f"count({f.name}) AS filled, "
+        f"sum({_measure(f.dataType, f.name, False)})::DOUBLE AS total FROM {table}" for f in columns)
 
 
-@query("src_csv_ml_outputs", """
-    SELECT order_date, orders::DOUBLE AS orders, gmv::DOUBLE AS gmv,
-        unique_customers::DOUBLE AS unique_customers FROM ml_daily_business_metrics""")
+@query("src_csv_typed", " UNION ALL ".join(_contents_sql(t, c) for t, c in schema.RAW.items()))
 def _(w):
-    from tradewind.forecast.features import daily_metrics
+    """All nine raw files, written as CSV and read with their declared types."""
+    out = []
+    for table, columns in schema.RAW.items():
+        path = sinks.csv_export(w[table], scratch_path(w.spark, f"{table}-csv"))
+        out.append(_contents(table, readers.raw_csv(w.spark, table, path), columns))
+    return union(out)
 
-    path = sinks.csv_export(
-        daily_metrics(w["gold_fact_orders"]), scratch_path(w.spark, "daily-csv"))
-    return readers.ml_csv(w.spark, "ml_daily_business_metrics", path)
+
+_HORIZON = "(SELECT max(order_date) AS d FROM ml_daily_business_metrics)"
+
+
+@query("src_csv_ml_outputs", f"""
+    SELECT 'ml_daily_business_metrics' AS table_name, count(*) AS rows,
+        sum(orders)::DOUBLE AS total FROM ml_daily_business_metrics
+    UNION ALL SELECT 'ml_forecast_result_daily', 30, 465
+    UNION ALL SELECT 'ml_forecast_result_monthly', count(DISTINCT date_trunc('month', x)), 30
+        FROM (SELECT d + unnest(range(1, 31))::INT AS x FROM {_HORIZON} h) m
+    UNION ALL SELECT 'ml_rf_model_performance', 6, 6 * 5
+    UNION ALL SELECT 'ml_rf_feature_importance', 20, 210""")
+def _(w):
+    """All five forecast files, written as CSV and read with their declared types. `total` adds
+    up orders, steps, days, folds and ranks."""
+    from tradewind.queries.forecast import forecast_of
+
+    added = {"ml_daily_business_metrics": "orders", "ml_forecast_result_daily": "forecast_step",
+             "ml_forecast_result_monthly": "forecast_days", "ml_rf_model_performance": "cv_splits",
+             "ml_rf_feature_importance": "rank"}
+    out = []
+    for table, df in forecast_of(w).tables().items():
+        path = sinks.csv_export(df, scratch_path(w.spark, f"{table}-csv"))
+        out.append(readers.ml_csv(w.spark, table, path).dropna("any").agg(
+            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+            F.sum(added[table]).cast("double").alias("total")))
+    return union(out)
 
 
 @query("src_table_scan", """
@@ -89,15 +140,14 @@ def _(w):
     UNION ALL SELECT 'inconsistent', count(*) FILTER (is_delivery_inconsistency)
     FROM silver_orders""")
 def _(w):
-    sinks.temp_result(w["silver_orders"], "kept_orders")
     n = F.count(F.lit(1)).alias("answer")
-    kept = w.spark.table("kept_orders")
-    return union([
-        kept.select("order_status").distinct().agg(n)
-        .select(F.lit("by status").alias("question"), "answer"),
-        kept.agg(F.count_if("is_delivery_inconsistency").alias("answer"))
-        .select(F.lit("inconsistent").alias("question"), "answer"),
-    ])
+    with sinks.temp_result(w["silver_orders"]) as kept:
+        return settled(union([
+            kept.select("order_status").distinct().agg(n)
+            .select(F.lit("by status").alias("question"), "answer"),
+            kept.agg(F.count_if("is_delivery_inconsistency").alias("answer"))
+            .select(F.lit("inconsistent").alias("question"), "answer"),
+        ]), "answers")
 
 
 @query("sink_csv_export", "SELECT * FROM dash_kpi_daily", "gmv actual_payment")

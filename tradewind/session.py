@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,28 +30,56 @@ def create(app: str = "tradewind", master: str | None = None, **extra: str) -> S
     return builder.getOrCreate()
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+def apply(spark: SparkSession) -> None:
+    """Give the session the settings that results and plans depend on."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
 
-    Only a session without one (a local test run) gets a folder of its own.
-    """
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or else the one given
+    to setCheckpointDir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    current = context.getCheckpointDir()
+    current = spark.sparkContext.getCheckpointDir()
     if current:
         return os.path.dirname(current)
-    root = tempfile.mkdtemp(prefix="tradewind-")
-    context.setCheckpointDir(root)
-    return root
+    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def use_local_folder(spark: SparkSession) -> None:
+    """For tests and trial runs in one process: a folder of their own, if none is set."""
+    context = spark.sparkContext
+    if (not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir()
+            and re.fullmatch(r"local(\[.*\])?", context.master)):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tradewind-"))
+
+
+_written: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, for one written table."""
-    return f"{checkpoint_root(spark).rstrip('/')}/tradewind/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, for one written table. `clear` deletes it."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/tradewind/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this application has written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this application has written below the shared folder, once no frame that
+    reads it is needed any more. Returns the number of paths."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        drop(spark, path)
+    return len(paths)
 
 
 def settled(df, name: str = "settled"):

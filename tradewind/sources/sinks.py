@@ -2,32 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.session import drop, scratch_path, settled
+
 
-def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+def overwrite(df: DataFrame, path: str, partition_by: str | None = None,
+              sort_by: str | None = None) -> DataFrame:
     """Rebuild a stored table from a query and return a scan of it.
 
+    `sort_by` orders the rows inside each file, so that lookups skip row groups.
+
     A partitioned table is rebalanced by its partition column: adaptive execution
     splits a partition that holds most rows over many tasks of the advisory size
     and joins small ones, so files are neither huge nor many.
     """
     if partition_by:
         balanced = df.hint("rebalance", F.col(partition_by))
+        if sort_by:
+            balanced = balanced.sortWithinPartitions(partition_by, sort_by)
         balanced.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     else:
+        if sort_by:
+            df = df.sortWithinPartitions(sort_by)
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def temp_result(df: DataFrame, view: str) -> DataFrame:
-    """Keep a result for several queries of the session. Spills to disk; a lost
-    block is recomputed from lineage."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.createOrReplaceTempView(view)
-    return kept
+@contextmanager
+def temp_result(df: DataFrame) -> Iterator[DataFrame]:
+    """A result kept for several queries inside the `with` block, as a scan of a copy in the
+    shared folder; the copy goes when the block ends."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "temp")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        drop(spark, path)
 
 
 def csv_export(df: DataFrame, path: str) -> str:
@@ -42,24 +57,32 @@ def csv_export(df: DataFrame, path: str) -> str:
 
 
 def constraint_violations(df: DataFrame, not_null: list[str], key: list[str]) -> DataFrame:
-    """(constraint, violations): NULLs per column and extra rows per key value."""
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
-    null_rows = nulls.select(
-        F.explode(F.array(*[
-            F.struct(F.lit(f"{c} NOT NULL").alias("constraint_name"), F.col(c).alias("violations"))
-            for c in not_null
-        ])).alias("r")
-    ).select("r.*")
-    duplicated = df.groupBy(*key).count().filter("count > 1")
-    key_rows = duplicated.agg(
-        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("violations")
-    ).select(F.lit(f"PRIMARY KEY ({', '.join(key)})").alias("constraint_name"), "violations")
-    return null_rows.unionByName(key_rows)
+    """(constraint, violations): NULLs per column and extra rows per key value.
+
+    One pass: rows and NULLs are counted per key value, then added up.
+    """
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(not_null)])
+    zero = F.lit(0)
+    named = [(f"{c} NOT NULL", F.sum(f"_null_{i}")) for i, c in enumerate(not_null)]
+    named.append((f"PRIMARY KEY ({', '.join(key)})", F.sum(F.col("_rows") - 1)))
+    wide = per_key.agg(*[F.coalesce(c, zero).cast("long").alias(f"_{i}")
+                         for i, (_, c) in enumerate(named)])
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("constraint_name"), F.col(f"_{i}").alias("violations"))
+        for i, (name, _) in enumerate(named)])).alias("r")).select("r.*")
+
+
+def violations(df: DataFrame, not_null: list[str], key: list[str]) -> list[tuple]:
+    return [tuple(r) for r in
+            constraint_violations(df, not_null, key).filter("violations > 0").collect()]
 
 
 def checked_overwrite(df: DataFrame, path: str, not_null: list[str], key: list[str]) -> DataFrame:
     """Write the table only if no constraint is violated."""
-    broken = constraint_violations(df, not_null, key).filter("violations > 0").collect()
+    df = settled(df, "checked")
+    broken = violations(df, not_null, key)
     if broken:
-        raise ValueError(f"constraints violated: {[tuple(r) for r in broken]}")
+        raise ValueError(f"constraints violated: {broken}")
     return overwrite(df, path)
