@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -17,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.session import checkpoint_root
+from tradewind import session
 
 BLOCK_CHARS = 4_000_000
 
@@ -27,6 +26,7 @@ _shipped: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application."""
+    session.use_local_folder(spark)  # where no shared folder is set, as in tests
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parents[1]
@@ -49,9 +49,7 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the cluster's shared folder and return a scan of it: the
     lineage ends there and a lost executor costs no recomputation."""
-    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return session.settled(df, name)
 
 
 def blocks(batches: Iterator[pd.DataFrame], column: str = "text",
