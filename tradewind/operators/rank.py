@@ -1,10 +1,14 @@
 """Global ranks, quantiles and running totals without a single-task window.
 
-A window without partition keys moves every row to one task. Here rows are range
-partitioned by the whole sort tuple (key, tie-break) first, so even one dominant
-key value is spread by its tie-break. The split is stored with its bucket number:
-a lost task cannot change it, and later passes read it back. The driver holds
-one total per bucket; rows stay in Spark.
+Rows at a few positions are found by counting: a histogram of the leading key, a finer
+one inside the bins that hold a position, then the counts of the values left there. Only
+rows that tie on such a value are ordered by the other keys.
+
+Totals over a whole order need every row: rows are range partitioned by the whole sort
+tuple (key, tie-break), so even one dominant key value is spread by its tie-break, into
+buckets of about `ROWS_A_BUCKET` rows. The split is stored with its bucket number: a lost
+task cannot change it, and later passes read it back. The driver holds one total per
+bucket or bin; rows stay in Spark.
 """
 
 from __future__ import annotations
@@ -14,16 +18,24 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.session import settled
 
 
+BINS, ROWS_A_BUCKET = 4096, 1_000_000
+
+
 class Split:
-    """`df` stored in ascending buckets of the tuple `order`."""
+    """`df` stored in ascending buckets of the tuple `order`.
+
+    `rows` is its known size. There are at least as many buckets as shuffle partitions.
+    """
 
-    def __init__(self, df: DataFrame, order: list[Column]):
-        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.keys = [f"_k{i}" for i in range(len(order))]
+    def __init__(self, df: DataFrame, order: list[Column], rows: int = 0):
+        width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                    -(-rows // ROWS_A_BUCKET))
+        self.keys = [f"_s{i}" for i in range(len(order))]
         keyed = df.select("*", *[c.alias(k) for c, k in zip(order, self.keys)])
         ranged = keyed.repartitionByRange(width, *self.keys)
         self.rows = settled(ranged.withColumn("_bucket", F.spark_partition_id()), "split")
@@ -44,6 +56,70 @@ class Split:
         return out
 
 
+def _ordered_number(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _number(key: str, kind: T.DataType) -> Column:
+    """The key as a double that never falls where the key rises; NULL is the lowest."""
+    c = F.col(key)
+    if isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    elif isinstance(kind, T.TimestampNTZType):
+        c = F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.TimestampType):
+        c = F.unix_micros(c)
+    return c.cast("double")
+
+
+def _held(sums: list[tuple], wanted: dict[int, int]) -> dict:
+    """Which bin holds each position: {bin: ({index: position within the bin})}."""
+    out, before = {}, 0
+    for key, weight in sums:
+        inside = {i: p - before for i, p in wanted.items() if before < p <= before + weight}
+        if inside:
+            out[key] = inside
+        before += weight
+    return out
+
+
+def _binned(rows: DataFrame, number: Column, low: float, high: float) -> Column:
+    wide = (high - low) or 1.0
+    at = F.floor((number - F.lit(low)) * F.lit(BINS / wide))
+    return F.when(number.isNull(), -1).otherwise(F.greatest(F.lit(0), F.least(F.lit(BINS - 1), at)))
+
+
+def _positions_of_values(rows: DataFrame, kind: T.DataType, wanted: dict[int, int]) -> DataFrame:
+    """(rank_no, value, at): the leading key `_k0` at each position of rows(_k0, _w), and the
+    position among the rows with that value."""
+    spark, number = rows.sparkSession, _number("_k0", kind)
+    low, high = rows.agg(F.min(number), F.max(number)).first()
+    low, high = low or 0.0, high or 0.0
+    coarse = rows.withColumn("_bin", _binned(rows, number, low, high))
+    sums = sorted(map(tuple, coarse.groupBy("_bin").agg(F.sum("_w")).collect()))
+    held = _held(sums, wanted)
+    step = ((high - low) or 1.0) / BINS
+    start = F.lit(low) + F.col("_bin") * F.lit(step)
+    inner = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((number - start) * (BINS / step))))
+    fine = coarse.filter(F.col("_bin").isin(list(held))).withColumn(
+        "_fine", F.when(number.isNull(), 0).otherwise(inner))
+    spots = []
+    found = sorted(map(tuple, fine.groupBy("_bin", "_fine").agg(F.sum("_w")).collect()))
+    for bin_no, inside in held.items():
+        here = [((b, f), w) for b, f, w in found if b == bin_no]
+        spots += [(b, f, i, p) for (b, f), at in _held(here, inside).items() for i, p in at.items()]
+    asked = spark.createDataFrame(spots, "_bin long, _fine long, rank_no int, _p long")
+    counts = fine.join(F.broadcast(asked.select("_bin", "_fine").distinct()), ["_bin", "_fine"]) \
+        .groupBy("_bin", "_fine", "_k0").agg(F.sum("_w").alias("_w"))
+    upto = Window.partitionBy("_bin", "_fine").orderBy("_k0").rowsBetween(
+        Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_to", F.sum("_w").over(upto))
+    return placed.join(F.broadcast(asked), ["_bin", "_fine"]).filter(
+        (F.col("_p") <= F.col("_to")) & (F.col("_p") > F.col("_to") - F.col("_w"))).select(
+        "rank_no", F.col("_k0").alias("value"), (F.col("_p") - F.col("_to") + F.col("_w")).alias("at"),
+        F.col("_w").alias("ties"))
+
+
 def rows_at_ranks(
     df: DataFrame, order: list[Column], ranks: Callable[[int], list[int]],
     weight: Column | None = None,
@@ -52,23 +128,55 @@ def rows_at_ranks(
 
     `ranks(n)` lists positions for a frame of n. `weight` (default 1) is the
     number of positions a row covers. Returns one row per listed position:
-    `rank_no` (index in the list), `position`, `n` and the columns of `df`. Only
-    buckets that hold a position are sorted.
+    `rank_no` (index in the list), `position`, `n` and the columns of `df`. NULL keys
+    come first.
     """
     columns = df.columns
-    split = Split(
-        df.withColumn("_w", weight if weight is not None else F.lit(1).cast("long")), order)
+    rows = df.select("*", *[c.alias(f"_k{i}") for i, c in enumerate(order)],
+                     (weight if weight is not None else F.lit(1)).cast("long").alias("_w"))
+    n = rows.agg(F.sum("_w")).first()[0] or 0
+    wanted = {i: p for i, p in enumerate(ranks(n)) if 1 <= p <= n}
+    listed = df.sparkSession.createDataFrame(list(wanted.items()), "rank_no int, position long")
+    kind = rows.schema["_k0"].dataType
+    if not wanted or not _ordered_number(kind):
+        return _sorted_at(rows, len(order), wanted, n, columns)
+    found = settled(_positions_of_values(rows.select("_k0", "_w"), kind, wanted), "ranks")
+    most = found.agg(F.max("ties")).first()[0]
+    hit = rows.join(F.broadcast(found.select(F.col("value").alias("_v")).distinct()),
+                    F.col("_k0").eqNullSafe(F.col("_v"))).drop("_v")
+    if len(order) == 1 or most == 1:  # any row with the value is the one
+        one = hit.groupBy("_k0").agg(F.first(F.struct(*columns)).alias("_row"))
+        out = found.join(one, found["value"].eqNullSafe(one["_k0"])).select("rank_no", "_row.*")
+        return out.join(F.broadcast(listed), "rank_no").select(
+            "rank_no", "position", F.lit(n).cast("long").alias("n"), *columns)
+    # Positions inside the tied rows alone, value after value.
+    spots, before = {}, 0
+    per_value: dict = {}
+    for row in found.orderBy("value").collect():  # one per position
+        per_value.setdefault(row["value"], (row["ties"], []))[1].append((row["rank_no"], row["at"]))
+    for ties, places in per_value.values():
+        spots.update({i: before + at for i, at in places})
+        before += ties
+    out = _sorted_at(hit, len(order), spots, before, columns).drop("position", "n")
+    return out.join(F.broadcast(listed), "rank_no").select(
+        "rank_no", "position", F.lit(n).cast("long").alias("n"), *columns)
+
+
+def _sorted_at(rows: DataFrame, width: int, wanted: dict[int, int], n: int,
+               columns: list[str]) -> DataFrame:
+    """Rows at positions of the order `_k0`, `_k1`, …; only buckets that hold one are sorted."""
+    keys = [f"_k{i}" for i in range(width)]
+    split = Split(rows, [F.col(k) for k in keys], n)
     totals = split.totals(w=F.col("_w"))
-    n = sum(here for _, _, (here,) in totals)
-    wanted = [
-        (bucket, before, [(i, p) for i, p in enumerate(ranks(n)) if before < p <= before + here])
+    entries = [
+        (bucket, before, [(i, p) for i, p in wanted.items() if before < p <= before + here])
         for bucket, (before,), (here,) in totals
     ]
-    wanted = [entry for entry in wanted if entry[2]]
-    listed = df.sparkSession.createDataFrame(
-        wanted, "_bucket int, _before long, _wanted array<struct<rank_no:int,position:long>>")
+    entries = [entry for entry in entries if entry[2]]
+    listed = rows.sparkSession.createDataFrame(
+        entries, "_bucket int, _before long, _wanted array<struct<rank_no:int,position:long>>")
     hit = (
-        split.rows.filter(F.col("_bucket").isin([bucket for bucket, _, _ in wanted]))
+        split.rows.filter(F.col("_bucket").isin([bucket for bucket, _, _ in entries]))
         .join(F.broadcast(listed), "_bucket")  # at most one row per position
         .withColumn("_to", F.col("_before") + F.sum("_w").over(split.upto()))
         .withColumn("_wanted", F.filter("_wanted", lambda r: (
@@ -109,7 +217,7 @@ def with_ntile(df: DataFrame, name: str, tiles: int, order: list[Column]) -> Dat
 
 def with_running(df: DataFrame, order: list[Column], measure: Column) -> DataFrame:
     """Adds `position`, `n`, `running` and `total` of `measure` in a global order."""
-    split = Split(df.withColumn("_m", measure), order)
+    split = Split(df.withColumn("_m", measure), order, df.count())
     totals = split.totals(w=F.lit(1).cast("long"), m=F.col("_m"))
     n = sum(w for _, _, (w, _) in totals)
     total = sum(m for _, _, (_, m) in totals)
@@ -141,18 +249,23 @@ def quantiles(df: DataFrame, column: Column, probabilities: dict[str, float]) ->
     Same definition as `percentile`, but no task holds all values: the two rows
     around each position are located by rank.
     """
-    return quantiles_of_counts(value_counts(df, column), probabilities)
+    return _quantiles(df.select(column.alias("value")).filter("value IS NOT NULL"), None,
+                      probabilities)
 
 
 def quantiles_of_counts(counts: DataFrame, probabilities: dict[str, float]) -> DataFrame:
     """Quantiles of a (value, weight) frame."""
+    return _quantiles(counts, F.col("weight"), probabilities)
+
+
+def _quantiles(rows: DataFrame, weight: Column | None, probabilities: dict[str, float]) -> DataFrame:
     probs = list(probabilities.items())
 
     def around(n: int) -> list[int]:
         spots = [(n - 1) * p for _, p in probs]
         return [side(at) + 1 for at in spots for side in (math.floor, math.ceil)]
 
-    hits = rows_at_ranks(counts, [F.col("value")], around, F.col("weight"))
+    hits = rows_at_ranks(rows, [F.col("value")], around, weight)
 
     def pick(i: int) -> Column:
         return F.max(F.when(F.col("rank_no") == i, F.col("value").cast("double")))
