@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def grouped_modes(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def grouped_modes(df: DataFrame, keys: list[str], columns: list[str],
+                  weight: str | None = None) -> DataFrame:
     """Per key: `<c>` = mode of c and `<c>_distinct` = its distinct non-NULL values.
+    A row counts `weight` times, once by default.
 
     Values are counted per (key, column, value) before they meet in one group,
     so a group's state is one running best per column, however large the group.
@@ -17,11 +19,11 @@ def grouped_modes(df: DataFrame, keys: list[str], columns: list[str]) -> DataFra
         for c in columns
     ]))
     counted = (
-        df.select(*keys, values.alias("v"))
-        .select(*keys, "v._column", "v._value")
+        df.select(*keys, (F.col(weight) if weight else F.lit(1)).alias("_w"), values.alias("v"))
+        .select(*keys, "_w", "v._column", "v._value")
         .filter("_value IS NOT NULL")
         .groupBy(*keys, "_column", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_w").alias("_n"))
     )
     best = []
     for c in columns:

@@ -1,6 +1,7 @@
 """Star schema: dates, dimensions, facts and customer segments.
 
-Every function maps DataFrames to one DataFrame; nothing is collected.
+Every function maps DataFrames to one DataFrame. Customer scores and the customer dimension
+store a frame that several passes read; rows are never collected.
 """
 
 from __future__ import annotations
@@ -81,32 +82,63 @@ def dim_customer(raw_customers: DataFrame, geolocation: DataFrame) -> DataFrame:
         *raw_customers.columns, *places.columns[1:])
 
 
+def _orders_per_customer(orders: DataFrame) -> DataFrame:
+    """Per customer_id: order rows, distinct orders, first and last purchases. One shuffle
+    serves the orders, each counted once, and the customers."""
+    ts = F.col("order_purchase_timestamp")
+    done = F.when(C.is_delivered(), ts)
+    each = (orders.filter("customer_id IS NOT NULL")
+            .select("customer_id", "order_id", C.is_delivered().alias("delivered"), ts, done.alias("done"))
+            .repartition("customer_id").groupBy("customer_id", "order_id").agg(
+                F.count(F.lit(1)).alias("n"), F.max("delivered").alias("delivered"),
+                F.min(ts).alias("lo"), F.max(ts).alias("hi"),
+                F.min("done").alias("done_lo"), F.max("done").alias("done_hi")))
+    return each.groupBy("customer_id").agg(
+        F.sum("n").alias("order_rows"), F.count("order_id").alias("orders"),
+        F.count_if(F.col("delivered") & F.col("order_id").isNotNull()).alias("delivered"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.min("done_lo").alias("done_lo"), F.max("done_hi").alias("done_hi"))
+
+
 def dim_unique_customer(dim_customer: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per person, people without orders included."""
-    person = "customer_unique_id"
+    """One row per person, people without orders included.
+
+    Orders, each of one customer_id, are reduced to a row per customer_id before the join.
+    One stored frame per person, customer_id and place then gives sums, counts and modes.
+    """
+    person, customer = "customer_unique_id", "customer_id"
     places = ["customer_zip_code_prefix", "customer_city", "customer_state"]
+    spans = {"lo": F.min, "hi": F.max, "done_lo": F.min, "done_hi": F.max}
     rows = (
         dim_customer.filter(F.col(person).isNotNull())
-        .join(
-            orders.select("customer_id", "order_id", "order_status", "order_purchase_timestamp"),
-            "customer_id", "left")
-        .withColumn("delivered_id", F.when(C.is_delivered(), F.col("order_id")))
-        .withColumn("delivered_ts", F.when(C.is_delivered(), F.col("order_purchase_timestamp")))
-        .withColumn("lat", F.col("customer_geo_lat").cast(_COORD))
-        .withColumn("lng", F.col("customer_geo_lng").cast(_COORD))
-    )
-    life = rows.groupBy(person).agg(
-        F.countDistinct("customer_id").alias("customer_id_count"),
-        F.countDistinct("order_id").alias("order_count"),
-        F.countDistinct("delivered_id").alias("delivered_order_count"),
-        F.min("order_purchase_timestamp").alias("first_order_purchase_timestamp"),
-        F.max("order_purchase_timestamp").alias("last_order_purchase_timestamp"),
-        F.min("delivered_ts").alias("first_delivered_order_purchase_timestamp"),
-        F.max("delivered_ts").alias("last_delivered_order_purchase_timestamp"),
-        _mean("lat").alias("customer_geo_lat"),
-        _mean("lng").alias("customer_geo_lng"),
+        .join(_orders_per_customer(orders), customer, "left")
+        .withColumn("w", F.coalesce("order_rows", F.lit(1)))  # rows of the plain join
     )
-    named = modes.grouped_modes(rows, [person], places)
+    at = {c: F.col(f"customer_geo_{c}").cast(_COORD) for c in ("lat", "lng")}
+    frame = settled(rows.groupBy(person, customer, *places).agg(
+        F.sum("w").alias("w"), F.max("orders").alias("orders"), F.max("delivered").alias("delivered"),
+        *[f(c).alias(c) for c, f in spans.items()],
+        *[F.sum(p * F.col("w").cast("decimal(10,0)")).alias(c) for c, p in at.items()],
+        *[F.sum(F.when(p.isNotNull(), F.col("w"))).alias(f"{c}_n") for c, p in at.items()]),
+        "customer-places")
+    same = {**spans, "lat": F.sum, "lng": F.sum, "lat_n": F.sum, "lng_n": F.sum}
+    one = frame.groupBy(person, customer).agg(
+        F.max("orders").alias("orders"), F.max("delivered").alias("delivered"),
+        *[f(c).alias(c) for c, f in same.items()])
+    total = one.groupBy(person).agg(
+        F.count(customer).alias("customer_id_count"),
+        F.coalesce(F.sum("orders"), F.lit(0)).alias("order_count"),
+        F.coalesce(F.sum("delivered"), F.lit(0)).alias("delivered_order_count"),
+        *[f(c).alias(c) for c, f in same.items()])
+    life = total.select(
+        person, "customer_id_count", "order_count", "delivered_order_count",
+        F.col("lo").alias("first_order_purchase_timestamp"),
+        F.col("hi").alias("last_order_purchase_timestamp"),
+        F.col("done_lo").alias("first_delivered_order_purchase_timestamp"),
+        F.col("done_hi").alias("last_delivered_order_purchase_timestamp"),
+        *[F.when(F.col(f"{c}_n") > 0, F.col(c).cast("double") / F.col(f"{c}_n"))
+          .alias(f"customer_geo_{c}") for c in at])
+    named = modes.grouped_modes(frame, [person], places, "w")
     moved = F.greatest(*[F.coalesce(F.col(f"{p}_distinct"), F.lit(0)) for p in places]) > 1
     return life.join(named, person, "left").select(
         *life.columns[:8],
