@@ -47,7 +47,8 @@ def test_retention_has_no_nested_loop(w, table):
 def test_interval_operators_have_no_nested_loop(w):
     df, ts = w["gold_customer_delivered_orders"], "order_purchase_timestamp"
     for made in (intervals.up_to_month_end(df, ts),
-                 intervals.in_window(df, ts, "customer_unique_id", 3)):
+                 intervals.in_window(df, ts, "customer_unique_id", 3),
+                 intervals.before_window(df, ts, "customer_unique_id", 6)):
         assert "NestedLoop" not in plan(made)
 
 
@@ -96,3 +97,26 @@ def test_heavy_partition_is_written_by_several_tasks(spark, tmp_path):
         assert len(list((tmp_path / "t" / "m=2018-01").glob("*.parquet"))) > 2
     finally:
         spark.conf.unset(key)
+
+
+def test_customer_dimension_reads_orders_and_customers_once(spark, monkeypatch):
+    plans = []
+    keep = gold.settled
+    monkeypatch.setattr(gold, "settled", lambda df, name: plans.append(plan(df)) or keep(df, name))
+    made = Warehouse.from_testdata(spark, SF)["gold_dim_unique_customer"]
+    assert len(plans) == 1 and "Expand" not in plans[0] + plan(made)
+    assert plans[0].count("customer.parquet") == 2  # persons, and the places of zip prefixes
+    assert "orders.parquet" not in plan(made)
+
+
+def test_ranks_store_no_copy_of_the_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tradewind.operators import rank
+    sizes = []
+    keep = rank.settled
+    monkeypatch.setattr(rank, "settled", lambda df, name: sizes.append(keep(df, name)) or sizes[-1])
+    df = spark.range(5000).select("id", (F.col("id") * 7919 % 997).alias("v"))
+    assert rank.with_ntile(df, "t", 5, [F.col("v"), F.col("id")]).groupBy("t").count().count() == 5
+    assert rank.quantiles(df, F.col("v"), {"q": 0.5}).first()["q"] == 498
+    assert all(s.count() < 200 for s in sizes)

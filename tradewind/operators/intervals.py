@@ -84,11 +84,13 @@ def before_window(df: DataFrame, ts: str, member: str, months: int) -> DataFrame
     edge = first.join(F.broadcast(bounds), "month").groupBy("report_month").agg(
         F.count_if(F.col("first") <= F.col("bound")).alias("edge"))  # one row per month
     new = first.groupBy("month").agg(F.count(F.lit(1)).alias("new"))
-    # Month rows against month rows: both sides have one row per calendar month.
-    earlier = (
-        bounds.select("report_month", F.col("month").alias("bound_month"))
-        .join(F.broadcast(new), F.col("month") < F.col("bound_month"))
-        .groupBy("report_month").agg(F.sum("new").alias("earlier")))
+    # New members and bounds on one line of calendar months, added up to before each bound.
+    number = F.year("month") * 12 + F.month("month")
+    line = new.select(number.alias("m"), "new", F.lit(None).cast("date").alias("report_month")).unionByName(
+        bounds.select(number.alias("m"), F.lit(0).cast("long").alias("new"), "report_month"))
+    before = Window.partitionBy(F.lit(1)).orderBy("m").rangeBetween(Window.unboundedPreceding, -1)
+    earlier = line.withColumn("earlier", F.sum("new").over(before)).filter(
+        "report_month IS NOT NULL").select("report_month", "earlier")
     return ends.select("report_month").join(earlier, "report_month", "left").join(
         edge, "report_month", "left").select(
         "report_month",

@@ -599,9 +599,10 @@ def _(w):
 def _(w):
     sums = w["dash_category_monthly"].groupBy("category").agg(
         F.sum("category_gmv").alias("total"))
-    # One row per category.
-    order = Window.partitionBy(lit(1)).orderBy(col("total").desc(), "category")
-    return sums.withColumn("rank", F.row_number().over(order))
+    sums = sums.withColumnRenamed("total", "amount")  # the running total has that name
+    placed = rank.with_running(sums, [-col("amount"), col("category")], col("amount"))
+    return placed.select("category", col("amount").alias("total"),
+                         col("position").cast("int").alias("rank"))
 
 
 # --- sorts, limits -----------------------------------------------------------
