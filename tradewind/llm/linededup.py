@@ -166,10 +166,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """The rows of `docs` with what is left of their texts, and `n_removed` lines."""
     names = docs.columns
     gone = removals(docs, id_col, text_col)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"),
-                       document(id_col, text_col).alias("doc"))
-    done = (rows.join(gone, "doc", "left")
-            .select("row", without("text", "bitmap", F.coalesce("copy", F.lit(False))).alias("x")))
+    rows = docs.select(F.struct("*").alias("row"), document(id_col, text_col).alias("doc"))
+    text = F.col(f"row.`{text_col}`").cast("string")
+    # `gone` grows with the documents: a merge join at every size.
+    done = (rows.join(gone.hint("merge"), "doc", "left")
+            .select("row", without(text, "bitmap", F.coalesce("copy", F.lit(False))).alias("x")))
     return done.select(*[F.col("x.text") if n == text_col else F.col(f"row.`{n}`") for n in names],
                        F.col("x.n_removed").alias("n_removed"))
 

@@ -25,6 +25,8 @@ def linked(occurrences: DataFrame, spread: int = SPREAD) -> DataFrame:
         "shared")
     shared = occurrences.join(stats, "key").withColumn("part", F.when(F.col("n") > spread, F.pmod(
         F.xxhash64("doc"), F.ceil(F.col("n") / spread))).otherwise(0))
+    # The join leaves all parts of a key together; a window alone would not part them.
+    shared = shared.repartition("key", "part")
     order = Window.partitionBy("key", "part").orderBy("doc")
     near = F.coalesce(F.lag(F.struct("doc", "at")).over(order), F.col("first"))
     return (shared.withColumn("near", near).filter("near.doc <> doc")
