@@ -233,6 +233,7 @@ def business_logic(tables) -> DataFrame:
     split = orders.filter("is_delivered").select("order_id", "uses_installments").distinct().join(
         most, "order_id", "left")
     status = tables["silver_orders"].select("order_id", "order_status")
+    # The names of the eight checks.
     return union([
         rule("delivered-only sales facts", mixed, n,
              "no order counts as delivered on one line and not on another"),

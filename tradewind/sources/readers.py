@@ -1,4 +1,4 @@
-"""Typed readers. No schema is ever inferred."""
+"""Typed readers. Text files never have their schema inferred; stored tables bring their own."""
 
 from __future__ import annotations
 
