@@ -80,3 +80,21 @@ def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
 
     return lm.scores(table(spark, folder, "documents"), vocabularies.path(RANKS),
                      vocabularies.PATTERN)
+
+
+# Shingles of every document against those of every item, without a sketch.
+SQL["op7_decontaminate"] = r"""
+    WITH d AS (SELECT row_number() OVER () AS d_no, doc_id,
+            regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents),
+        b AS (SELECT *, least(5, len(w)) AS k FROM (SELECT row_number() OVER () AS b_no, item_id,
+            regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM benchmark) x
+            WHERE len(w) > 0),
+        bs AS (SELECT DISTINCT b_no, k, array_to_string(w[i:i + k - 1], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM b) x),
+        ds AS (SELECT DISTINCT d_no, k, array_to_string(w[i:i + k - 1], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i
+                  FROM d, (SELECT DISTINCT k FROM b) y) x),
+        n AS (SELECT b_no, count(*) AS n FROM bs GROUP BY 1),
+        m AS (SELECT b_no, d_no, count(*) AS c FROM bs JOIN ds USING (k, s) GROUP BY 1, 2)
+    SELECT doc_id, item_id, n AS n_shingles, c AS n_shared, c / n AS containment
+    FROM m JOIN n USING (b_no) JOIN b USING (b_no) JOIN d USING (d_no) WHERE c >= 0.8 * n - 1e-9"""
