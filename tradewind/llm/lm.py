@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from tradewind.llm.attention import Coding, Trainer, flat, initial, leaders, score, shaped
 from tradewind.llm.frames import blocks, stored, texts
 
-FREQUENT, WARM, RATE = 300_000, 1_000, 0.01
+FREQUENT, WARM, RATE = 100_000, 1_000, 0.01
 MODULUS, HELD_OUT = 7, 2
 KEPT_WORDS, KEPT_IDS = 1_000_000, 200_000
 
@@ -156,6 +156,7 @@ def id_counts(train: DataFrame, size: int, before: np.ndarray | None = None) ->
     shared = train.sparkSession.sparkContext.broadcast(before)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _kept.clear()  # of the pass before: the worker needs neither words nor ranks now
         count = np.zeros(groups * size, np.int64)
         end = np.array([size - 1])
         for batch in batches:
