@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from tradewind.llm.frames import blocks, texts
 
 NONE = np.iinfo(np.int64).max
+BLOCK_CHARS = 2_000_000
 
 
 class Vocabulary:
@@ -165,7 +166,7 @@ class Encoder:
     by the pattern and merged once, and only texts with other spacing are split whole.
     """
 
-    def __init__(self, vocab: Vocabulary, pattern: str, keep: int = 300_000):
+    def __init__(self, vocab: Vocabulary, pattern: str, keep: int = 200_000):
         import regex
 
         self.vocab, self.split, self.keep = vocab, regex.compile(pattern).findall, keep
@@ -225,7 +226,6 @@ class Encoder:
 
 
 _parsed: dict[int, Vocabulary] = {}
-_encoders: dict[tuple[int, str], Encoder] = {}
 
 
 def vocabulary(lines: bytes) -> Vocabulary:
@@ -237,14 +237,6 @@ def vocabulary(lines: bytes) -> Vocabulary:
     return _parsed[key]
 
 
-def encoder(lines: bytes, pattern: str) -> Encoder:
-    key = hash(lines), pattern
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary(lines), pattern)
-    return _encoders[key]
-
-
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text", decoded: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) for every row and, if asked for, `decoded binary`, what the
@@ -254,8 +246,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         lines = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoded = encoder(lines.value, pattern)
-        for block in blocks(batches):
+        # The cuts are remembered for one task: workers live on and serve other operators.
+        encoded = Encoder(vocabulary(lines.value), pattern)
+        for block in blocks(batches, chars=BLOCK_CHARS):
             ids = encoded(block["text"].tolist())
             out = pd.DataFrame({"doc_id": block["doc_id"].array, "ids": ids})
             if decoded:

@@ -145,9 +145,8 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
             for part in parts:
                 yield part.map(lambda text: bool(index.hits(text))).astype(bool)
 
-        return held(F.coalesce(F.col("text").cast("string"), F.lit("")))
+        return held(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
     share = docs.sparkSession.sparkContext.broadcast
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     found = [holds(share(b)) for b in item_blocks(items)]
-    return rows.withColumn("held", reduce(lambda a, b: a | b, found)).filter("not held").select("row.*")
+    return docs.filter(~reduce(lambda a, b: a | b, found))

@@ -13,20 +13,24 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
 
 BLOCK_CHARS = 4_000_000
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 
 
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application, and have
+    Arrow batches of `BATCH_ROWS` documents, unless the session has a size of its own."""
     session.use_local_folder(spark)  # where no shared folder is set, as in tests
+    if spark.conf.get(BATCH_SETTING) == "10000":  # the default
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parents[1]
@@ -68,5 +72,9 @@ def blocks(batches: Iterator[pd.DataFrame], column: str = "text",
             start = stop
 
 
-def same(left: Column, right: Column) -> Column:
-    return left.eqNullSafe(right)
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that is no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.frames import blocks, stored, texts
+from tradewind.llm.frames import blocks, free_name, stored, texts
 
 BUCKETS = 1 << 14
 MIN_WORDS, REPEATED_PERCENT, WINDOW = 10, 20, 5
@@ -65,7 +65,7 @@ _hashes: dict[bytes, int] = {}
 def ngrams(text: str) -> np.ndarray:
     """Buckets of the lower-cased tokens and of the pairs of neighbours."""
     tokens = TOKEN(text.encode("utf-8", "surrogatepass").lower())
-    if len(_hashes) > 500_000:
+    if len(_hashes) > 200_000:
         _hashes.clear()
     for token in set(tokens):
         if token not in _hashes:
@@ -160,15 +160,14 @@ def scorer(docs: DataFrame, ratio: np.ndarray | None):
     return measured
 
 
-def judged(frame: DataFrame, text: Column, model: tuple) -> DataFrame:
-    """`frame` and a struct column `m`: counts, score, base_failed, kept."""
+def judged(frame: DataFrame, text: Column, model: tuple, name: str = "m") -> DataFrame:
+    """`frame` and a struct column of counts, score, base_failed, kept."""
     ratio, threshold = model
-    m = scorer(frame, ratio)(text)
-    failed = (F.col("m.n_words") < MIN_WORDS) | (
-        100 * F.col("m.n_repeat_words") > REPEATED_PERCENT * F.col("m.n_words"))
-    enough = F.lit(True) if threshold is None else F.col("m.score") >= threshold
-    return frame.withColumn("m", m).withColumn("m", F.struct(
-        "m.*", failed.alias("base_failed"), (~failed & enough).alias("kept")))
+    failed = (F.col(f"{name}.n_words") < MIN_WORDS) | (
+        100 * F.col(f"{name}.n_repeat_words") > REPEATED_PERCENT * F.col(f"{name}.n_words"))
+    enough = F.lit(True) if threshold is None else F.col(f"{name}.score") >= threshold
+    return frame.withColumn(name, scorer(frame, ratio)(text)).withColumn(name, F.struct(
+        f"{name}.*", failed.alias("base_failed"), (~failed & enough).alias("kept")))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -180,6 +179,6 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that pass."""
-    rows = docs.select(F.struct("*").alias("row"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return judged(rows, F.col("text"), fit(docs, labels)).filter("m.kept").select("row.*")
+    name = free_name(docs, "judged")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return judged(docs, text, fit(docs, labels), name).filter(f"{name}.kept").drop(name)

@@ -231,12 +231,17 @@ def report(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without near-duplicates: of each component the row with the smallest id
     stays (null ids come last, equal ids go by the hash of their texts)."""
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    kept = stored(near_duplicates(docs, id_col, text_col).groupBy("root")
-                  .agg(F.min(key).alias("x")).select("x.doc_id", "x.text_hash"), "kept")
-    rows = docs.select(
-        F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
-        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("hash"))
-    found = rows.join(kept, rows["id"].eqNullSafe(kept["doc_id"])
-                      & (rows["hash"] == kept["text_hash"]), "left_semi")
-    return found.dropDuplicates(["id", "hash"]).select("row.*")
+    def key(number: Column, text_hash: Column) -> list[Column]:
+        return [number.isNull().alias("no_id"), F.coalesce(number, F.lit(0)).alias("id"),
+                text_hash.alias("hash")]
+
+    groups = near_duplicates(docs, id_col, text_col)
+    kept = stored(groups.groupBy("root").agg(F.min(F.struct(*key(
+        F.col("doc_id"), F.col("text_hash")))).alias("x")).select("x.*"), "kept")
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(F.struct("*").alias("row"), *key(F.col(id_col).cast("long"), text_hash))
+    # `kept` grows with the documents: a merge join at every size, whose order of the rows
+    # then serves to drop repeated ones.
+    names = ["no_id", "id", "hash"]
+    found = rows.join(kept.hint("merge"), names, "left_semi")
+    return found.dropDuplicates(names).select("row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-KNOWN = 400_000  # remembered words of a worker
+KNOWN = 200_000  # remembered words of a worker
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _known: dict[str, int] = {}
 
