@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.llm.frames import texts
-from tradewind.llm.words import hashes, rolling
+from tradewind.llm.words import forget, hashes, rolling
 
 WIDTH, THRESHOLD = 5, 0.8
 BLOCK_CHARS = 8_000_000
@@ -144,6 +144,7 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
             index = index_of(block, threshold)
             for part in parts:
                 yield part.map(lambda text: bool(index.hits(text))).astype(bool)
+            forget()
 
         return held(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 

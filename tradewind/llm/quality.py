@@ -92,6 +92,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 raw += count
                 if trusted:
                     target += count
+        _hashes.clear()  # workers live on and serve other operators
         seen = np.flatnonzero(raw)
         yield pd.DataFrame({"bucket": seen, "raw": raw[seen], "target": target[seen]})
 
@@ -156,6 +157,7 @@ def scorer(docs: DataFrame, ratio: np.ndarray | None):
             rows = [(*base_counts(x), score(x, shared.value) if shared.value is not None else 0.0)
                     for x in part]
             yield pd.DataFrame(rows, columns=NAMES).astype({"score": "float64"})
+        _hashes.clear()
 
     return measured
 

@@ -22,6 +22,11 @@ def hashes(words: list) -> np.ndarray:
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
+def forget() -> None:
+    """At the end of a task: workers live on and serve other operators."""
+    _known.clear()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
