@@ -220,3 +220,35 @@ def test_repeated_passages(spark):
     assert substrings.repeated(df.limit(0)).count() == 0
     odd = substrings.repeated(cases.frame(spark)).collect()
     assert {(r["doc_id"], r["other_id"]) for r in odd} >= {(20, 1), (21, 1), (None, 2)}
+
+
+def test_bad_gap_ends_a_passage():
+    rng = random.Random(8)
+    own = lambda n, name: [f"{name}{rng.randrange(10**9)}" for _ in range(n)]
+    for n, gap in ((50, 30), (55, 35), (59, 40)):
+        p, q, stray = own(n, "p"), own(n, "q"), own(5, "s")
+        # Passages with words of their own between; one passage with a stray phrase near it.
+        a, b = ([*own(20, x), *p, *own(gap, x), *q, *own(20, x)] for x in "ab")
+        chain = [(20 + k, 20 + k) for k in (1, n - 6, n + gap + 1, 2 * n + gap - 6)]
+        pairs = substrings.align(a, b, chain)
+        found = substrings.similar(pairs)
+        assert [(pairs[f], pairs[e]) for f, e in found] == [
+            ((s, s), (s + n - 1, s + n - 1)) for s in (20, 20 + n + gap)]
+        a, b = ([*p, *own(35, x), *stray, *own(9, x)] for x in "ab")
+        pairs = substrings.align(a, b, [(1, 1), (n - 6, n - 6), (n + 35, n + 35)])
+        assert [(pairs[f], pairs[e]) for f, e in substrings.similar(pairs)] == [((0, 0), (n - 1, n - 1))]
+
+
+def test_similar_stretches_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(60):
+        a = [f"w{rng.randrange(10**9)}" for _ in range(130)]
+        rate = rng.choice([0.05, 0.15, 0.2, 0.25])
+        b = [x if rng.random() > rate else "other" for x in a]
+        pairs = substrings.align(a, b, [])
+        good = [(f, e) for f in range(len(pairs)) for e in range(f, len(pairs))
+                if pairs[e][0] - pairs[f][0] >= 49 and
+                2 * (e - f + 1) >= 0.8 * 2 * (pairs[e][0] - pairs[f][0] + 1) - 1e-9]
+        found = substrings.similar(pairs)
+        assert set(found) <= set(good) and bool(found) == bool(good)
+        assert all(any(f <= y and x <= e for x, y in found) for f, e in good)
