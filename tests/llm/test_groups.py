@@ -170,6 +170,18 @@ def test_frequent_line_alone_stays(spark):
     assert done.filter("n_removed > 0").count() == 0
 
 
+def test_holders_alone_do_not_keep_a_line(spark):
+    rng = random.Random(6)
+    many = cases.prose(rng, 60)
+    docs = [(i, f"{many}\n{cases.prose(rng, 9)}") for i in range(100)]
+    done = linededup.dedup(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r[0] for r in done.filter("n_removed = 1").collect()) == list(range(1, 100))
+    for size in (100, 500):  # the same share of the documents, 10 and 70 and more holders
+        docs = [(i, cases.prose(rng, 9) + "\nunder the same licence" * (i % 7 == 0)) for i in range(size)]
+        done = linededup.dedup(spark.createDataFrame(docs, "doc_id long, text string"))
+        assert sorted(r[0] for r in done.filter("n_removed = 1").collect()) == list(range(7, size, 7))
+
+
 def chain_score(chain):
     gaps = sum(substrings.GAP_COST * (c - a + d - b) for (a, b), (c, d) in zip(chain, chain[1:], strict=False))
     return substrings.K * len(chain) - gaps

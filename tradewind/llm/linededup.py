@@ -2,8 +2,9 @@
 
 Documents are ordered by (id, hash of the text); null ids come last. Every line of at
 least `MIN_WORDS` words links a document to the nearest earlier one that holds it
-(`links`). A pair is aligned if it shares a rare line, one of at most `RARE` documents,
-or two lines and more: one frequent line alone says nothing of an overlap. Patience diff
+(`links`). Such a pair is aligned. Only a short line, of fewer than `LONG` words, that more
+than half of all documents and more than `RARE` hold is no overlap by itself: it needs a
+second shared line. Shares of the documents do not move with their number. Patience diff
 aligns the pair's line hashes, and what lies in common blocks is deleted from the later
 document; a line goes if any of the document's pairs deletes it. The lines of exact
 copies all go, but for the first copy's.
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from tradewind.llm.frames import stored
 from tradewind.llm.links import linked
 
-MIN_WORDS, RARE = 3, 64
+MIN_WORDS, LONG, RARE = 3, 8, 64
 HASH = 16
 
 
@@ -38,9 +39,11 @@ def document(id_col: str, text_col: str) -> Column:
                     F.xxhash64(F.coalesce(text, F.lit(""))).alias("hash"))
 
 
-@F.pandas_udf(T.StructType().add("lines", T.BinaryType()).add("keys", T.ArrayType(T.BinaryType())))
+@F.pandas_udf(T.StructType().add("lines", T.BinaryType()).add("keys", T.ArrayType(T.BinaryType()))
+              .add("proof", T.ArrayType(T.BinaryType())))
 def line_hashes(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """The hashes of all lines, joined, and the distinct ones of lines that can link."""
+    """The hashes of all lines, joined, and the distinct ones of lines that can link: short
+    ones, and those that prove an overlap by themselves."""
     import xxhash
 
     for part in parts:
@@ -48,9 +51,13 @@ def line_hashes(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for text in part:
             lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
             hashes = [xxhash.xxh3_128_digest(line.strip()) for line in lines]
-            rows.append((b"".join(hashes), list({h: None for h, line in zip(
-                hashes, lines, strict=True) if len(line.split()) >= MIN_WORDS})))
-        yield pd.DataFrame(rows, columns=["lines", "keys"])
+            short, proof = {}, {}
+            for h, line in zip(hashes, lines, strict=True):
+                n = len(line.split())
+                if n >= MIN_WORDS:
+                    (proof if n >= LONG else short)[h] = None
+            rows.append((b"".join(hashes), list(short), list(proof)))
+        yield pd.DataFrame(rows, columns=["lines", "keys", "proof"])
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -136,10 +143,16 @@ def without(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator
 
 
 def overlaps(lines: DataFrame) -> DataFrame:
-    """(doc, partner) to align, from lines(doc, lines, keys)."""
-    links = linked(lines.select(F.explode("keys").alias("key"), "doc", F.lit(0).alias("at")))
-    return (links.groupBy("doc", "partner").agg(F.count("*").alias("shared"), F.min("n").alias("n"))
-            .filter((F.col("n") <= RARE) | (F.col("shared") > 1)).select("doc", "partner"))
+    """(doc, partner) to align, from lines(doc, lines, keys, proof)."""
+    key = lambda name, proof: F.transform(name, lambda x: F.struct(
+        x.alias("key"), F.lit(proof).alias("at")))
+    links = linked(lines.select("doc", F.explode(F.concat(key("keys", 0), key("proof", 1))).alias("x"))
+                   .select("x.key", "doc", "x.at"))
+    usual = max(RARE, lines.count() // 2)
+    return (links.groupBy("doc", "partner").agg(
+        F.count("*").alias("shared"), F.min("n").alias("n"), F.max("at").alias("proof"))
+        .filter((F.col("n") <= usual) | (F.col("shared") > 1) | (F.col("proof") > 0))
+        .select("doc", "partner"))
 
 
 def removals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
