@@ -182,6 +182,18 @@ def test_holders_alone_do_not_keep_a_line(spark):
         assert sorted(r[0] for r in done.filter("n_removed = 1").collect()) == list(range(7, size, 7))
 
 
+def test_neighbouring_lines_with_other_holders(spark):
+    """A block of two short lines, the first of which also stands alone in most others."""
+    rng = random.Random(7)
+    kind = ["block"] * 1400 + ["alone"] * 900
+    rng.shuffle(kind)
+    docs = [(i, {"block": "home about contact\n\nsign in here", "alone": "home about contact"}[k]
+             + "\n" + cases.prose(rng, 9)) for i, k in enumerate(kind)]
+    done = linededup.dedup(spark.createDataFrame(docs, "doc_id long, text string"))
+    gone = {r[0]: r[1] for r in done.filter("n_removed > 0").select("doc_id", "n_removed").collect()}
+    assert sorted(gone) == [i for i, k in enumerate(kind) if k == "block"][1:] and set(gone.values()) == {3}
+
+
 def chain_score(chain):
     gaps = sum(substrings.GAP_COST * (c - a + d - b) for (a, b), (c, d) in zip(chain, chain[1:], strict=False))
     return substrings.K * len(chain) - gaps

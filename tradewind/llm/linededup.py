@@ -4,7 +4,8 @@ Documents are ordered by (id, hash of the text); null ids come last. Every line
 least `MIN_WORDS` words links a document to the nearest earlier one that holds it
 (`links`). Such a pair is aligned. Only a short line, of fewer than `LONG` words, that more
 than half of all documents and more than `RARE` hold is no overlap by itself: it needs a
-second shared line. Shares of the documents do not move with their number. Patience diff
+second shared line. Neighbouring lines of which one is short link as one key too, so they
+need not name the same partner one by one. Shares of the documents do not move with their number. Patience diff
 aligns the pair's line hashes, and what lies in common blocks is deleted from the later
 document; a line goes if any of the document's pairs deletes it. The lines of exact
 copies all go, but for the first copy's.
@@ -43,7 +44,7 @@ def document(id_col: str, text_col: str) -> Column:
               .add("proof", T.ArrayType(T.BinaryType())))
 def line_hashes(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """The hashes of all lines, joined, and the distinct ones of lines that can link: short
-    ones, and those that prove an overlap by themselves."""
+    ones, and long ones and neighbours, which prove an overlap by themselves."""
     import xxhash
 
     for part in parts:
@@ -51,11 +52,18 @@ def line_hashes(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for text in part:
             lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
             hashes = [xxhash.xxh3_128_digest(line.strip()) for line in lines]
-            short, proof = {}, {}
+            short, proof, last = {}, {}, None
             for h, line in zip(hashes, lines, strict=True):
                 n = len(line.split())
-                if n >= MIN_WORDS:
-                    (proof if n >= LONG else short)[h] = None
+                if n < MIN_WORDS:
+                    continue
+                if n >= LONG:
+                    proof[h] = None
+                else:
+                    short[h] = None
+                if last and min(n, last[1]) < LONG:
+                    proof[xxhash.xxh3_128_digest(last[0] + h)] = None
+                last = h, n
             rows.append((b"".join(hashes), list(short), list(proof)))
         yield pd.DataFrame(rows, columns=["lines", "keys", "proof"])
 

@@ -2,7 +2,10 @@
 
 Instead of all pairs within a key's documents, each document is linked to the nearest
 earlier one with that key. A key with more than `SPREAD` documents is dealt into parts by
-a hash of the document; the first of each part is linked to the key's first document. So
+a hash of the document, their number a power of two: the parts of keys of unequal numbers
+nest, so that keys with the same holders in a part agree on the partner. The first of each
+part is linked to the key's first document. Where two keys must point to one partner, their
+users make a key of both: one link then proves the overlap. So
 no key is ever gathered in one task, every holder but the first has an earlier partner,
 and a document is the partner of few others for each of its keys.
 """
@@ -24,7 +27,8 @@ def linked(occurrences: DataFrame, spread: int = SPREAD) -> DataFrame:
         F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first")).filter("n > 1"),
         "shared")
     shared = occurrences.join(stats, "key").withColumn("part", F.when(F.col("n") > spread, F.pmod(
-        F.xxhash64("doc"), F.ceil(F.col("n") / spread))).otherwise(0))
+        F.xxhash64("doc"), F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / spread))).cast("long")))
+        .otherwise(0))
     # The join leaves all parts of a key together; a window alone would not part them.
     shared = shared.repartition("key", "part")
     order = Window.partitionBy("key", "part").orderBy("doc")
