@@ -276,3 +276,20 @@ def test_similar_stretches_against_brute_force():
         found = substrings.similar(pairs)
         assert set(found) <= set(good) and bool(found) == bool(good)
         assert all(any(f <= y and x <= e for x, y in found) for f, e in good)
+
+
+def test_short_fuzzy_passages_and_neighbours(spark):
+    rng = random.Random(12)
+    make = lambda n, name="w": [f"{name}{rng.randrange(20_000)}" for _ in range(n)]
+    docs, n = [], 40
+    for i in range(n):  # 60 words with 15 % of them changed
+        p, at = make(60), set(rng.sample(range(1, 59), 9))
+        q = [f"x{rng.randrange(10**6)}" if k in at else w for k, w in enumerate(p)]
+        docs += [(2 * i, " ".join(make(60) + p + make(60))), (2 * i + 1, " ".join(make(70) + q + make(40)))]
+    p, q = make(55), make(55)
+    docs += [(1000 + i, " ".join(make(30) + p + make(35) + q + make(30))) for i in range(2)]
+    rows = substrings.repeated(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len({r["doc_id"] for r in rows if r["doc_id"] < 1000}) >= n - 1
+    text = dict(docs)
+    got = sorted(text[r["doc_id"]][r["start"]:r["end"]].split() for r in rows if r["doc_id"] == 1001)
+    assert got == sorted([p, q])
