@@ -77,6 +77,29 @@ def test_pii_contexts_add_unseen_identifiers(spark):
     assert all(rows[i]["n_added"] == 0 for i in range(8))
 
 
+def test_pii_contexts_add_numbers_in_groups(spark):
+    valid = [n for n in range(4111111111110000, 4111111111111000) if luhn(str(n))][:8]
+    docs = [(i, f"phone: +44 20 7946 01{i:02} now") for i in range(8)]
+    docs += [(10 + i, f"cardno {n} paid") for i, n in enumerate(valid)]
+    want = {90: ("phone: 020 7946 0958 now", "phone:7:20"), 91: ("phone: (020) 7946 0958 now", "phone:7:22"),
+            92: ("cardno 4111 1111 1111 1112 paid", "card:7:26"), 93: ("about 020 7946 0959 here", ""),
+            94: ("room 7 5551234567 now", "phone:7:17")}
+    rows = {r["doc_id"]: r["spans"] for r in pii.report(spark.createDataFrame(
+        docs + [(i, t) for i, (t, _) in want.items()], "doc_id long, text string")).collect()}
+    assert {i: rows[i] for i in want} == {i: s for i, (_, s) in want.items()}
+
+
+def test_pii_rounds_go_on(spark):
+    name = "abcdefgh"
+    docs = [(0, f"a: seed{i}@mail.com") for i in range(8)] + [(0, "a: x0@host"), (0, "a: y0@host")]
+    for k in range(1, 8):  # each context becomes confident by what the one before has found
+        docs += [(k, f"{name[k]}: more{k}x{i}@mail.com") for i in range(5)]
+        docs += [(k, f"{name[k]}: {x}{k - 1}@host") for x in "xy"]
+        docs += [(100 + k, f"{name[k]}: {x}{k}@host") for x in "xy"]
+    rows = pii.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["spans"] for r in rows if r["doc_id"] > 100} == {"email:3:10"}
+
+
 def der(tag, body):
     n = len(body)
     size = bytes([n]) if n < 128 else bytes([0x80 + (n.bit_length() + 7) // 8]) + n.to_bytes(

@@ -5,7 +5,9 @@ they find are the seed entities. The words before and after a seed are lexical p
 Every other token shaped like an identifier is a candidate instance. Patterns and
 instances form a graph that is scored in rounds: a pattern's confidence for a kind is
 the share of its instances already accepted as that kind, an instance's is the noisy-or
-of its confident patterns; accepted instances count as positive in the next round.
+of its confident patterns; accepted instances count as positive in the next round, until
+no more are accepted. Candidate numbers may stand in groups with single spaces, hyphens
+and a bracketed prefix; their digits decide what they could be.
 Accepted candidates are added as spans of that kind. Words common to several kinds never
 become confident, so generic contexts add nothing.
 
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.frames import stored, texts
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, SUPPORT, CONFIDENCE = 4, 3, 0.6
+SUPPORT, CONFIDENCE = 3, 0.6
 
 # The patterns, with possessive loops and a look at the character before: the same
 # matches without retries inside a run. \G allows a start right after the last match.
@@ -33,6 +35,11 @@ CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?:\G|(?<![^\x20\x09-\x0D]))[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 PARTS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
+# Candidates in groups: a bracketed prefix goes with the groups after it, and a group of seven
+# digits or more after a space is a number of its own.
+NEXT = r"(?:[.-][0-9]++|\x20(?![0-9]{7})[0-9]++)"
+BRACKETED = rf"\([0-9]++\)[\x20-]?+[0-9]++{NEXT}*+"
+GROUPS = r"[0-9]{7,}+(?:-[0-9]++)*+|[0-9]++(?:-[0-9]++|\x20(?![0-9]{7})[0-9]++)*+"
 SPANS = "array<struct<s:int,k:int,e:int>>"
 
 
@@ -107,14 +114,14 @@ def shape(token: Column) -> Column:
     n = F.length(digits(token))
     return (F.when(token.rlike(r"^[^@]+@[^@]+$"), 0)
             .when(token.rlike(r"^[0-9]+(?:\.[0-9]+){2,}$"), 1)
-            .when(token.rlike(r"^[0-9][0-9-]*$") & n.between(12, 19), 2)
-            .when(token.rlike(r"^\+?[0-9(][0-9().-]*$") & n.between(7, 15), 3))
+            .when(token.rlike(r"^[0-9][0-9-]*(?:\x20[0-9][0-9-]*)*$") & n.between(12, 19), 2)
+            .when(token.rlike(r"^\+?[0-9(][0-9().-]*(?:\x20[0-9(][0-9().-]*)*$") & n.between(7, 15), 3))
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
     """Identifier-like tokens of rows(doc_id, hash, text, base): where they stand, the words
     around them, their kind, and whether a base span makes them a seed."""
-    any_part = "|".join([PHONE, EMAIL, IP, CARD, TOKEN])
+    any_part = "|".join([PHONE, EMAIL, IP, BRACKETED, GROUPS, TOKEN])
     parts = F.when(F.col("text").rlike("[0-9@]"), placed(pieces(F.col("text"), any_part)))
     word = r"([^\x20\x09-\x0D]+)"
     around = F.transform(F.col("parts"), lambda x, i: F.struct(
@@ -125,8 +132,9 @@ def occurrences(rows: DataFrame) -> DataFrame:
     flat = rows.withColumn("parts", parts).select(
         "doc_id", "hash", "base", F.explode(around).alias("x")).filter("x.hit <> ''").select(
         "doc_id", "hash", "base", "x.*")
-    lead = F.length(F.regexp_extract("hit", r"^[(\['\"<]*", 0))
-    bare = F.regexp_replace("hit", r"^[(\['\"<]+|[)\]'\">.,;:!?]+$", "")
+    opening = r"^(?!\([0-9]+\)[\x20-]?[0-9])[(\['\"<]"  # the bracket of a prefix stays
+    lead = F.length(F.regexp_extract("hit", opening + "*", 0))
+    bare = F.regexp_replace("hit", opening + r"+|[)\]'\">.,;:!?]+$", "")
     over = F.filter("base", lambda b: (b["s"] < F.col("e")) & (b["e"] > F.col("s")))
     seed = F.get(over, F.lit(0))["k"]
     token = F.when(seed.isNull(), bare).otherwise(F.col("hit"))
@@ -146,7 +154,7 @@ def accepted(found: DataFrame) -> DataFrame:
                    .agg(F.max("seed").alias("seed")), "edges")
     known = stored(edges.filter("false").select("instance", "k"), "known")
     size = 0
-    for _ in range(ROUNDS):
+    while True:  # more accepted make more confident: it only grows, up to the instances
         marked = edges.join(known.withColumn("new", F.lit(True)), ["instance", "k"], "left")
         positive = F.col("seed") | F.coalesce("new", F.lit(False))
         stats = marked.groupBy("pattern").agg(
