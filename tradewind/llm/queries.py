@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.llm import (
-    bpe, decontaminate, linededup, lm, pii, quality, secrets, sharding, simhash, substrings,
+    bpe, codes, decontaminate, language, linededup, lm, pii, quality, resampling, secrets, sharding,
+    simhash, substrings,
 )
 from tradewind.llm.frames import ship, table
 
@@ -82,6 +83,21 @@ def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
                      vocabularies.PATTERN)
 
 
+@query
+def op11_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.report(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.report(table(spark, folder, "documents"))
+
+
 # Shingles of every document against those of every item, without a sketch.
 SQL["op7_decontaminate"] = r"""
     WITH d AS (SELECT row_number() OVER () AS d_no, doc_id,
@@ -98,3 +114,37 @@ SQL["op7_decontaminate"] = r"""
         m AS (SELECT b_no, d_no, count(*) AS c FROM bs JOIN ds USING (k, s) GROUP BY 1, 2)
     SELECT doc_id, item_id, n AS n_shingles, c AS n_shared, c / n AS containment
     FROM m JOIN n USING (b_no) JOIN b USING (b_no) JOIN d USING (d_no) WHERE c >= 0.8 * n - 1e-9"""
+
+
+def _assigned(books: str) -> str:
+    return f"""SELECT n, p, min({{'d': (list_sum(list_transform(list_zip(parts.q, b.q),
+            z -> (z[1] - z[2]) * (z[1] - z[2]))))::BIGINT, 'e': e}}) AS m
+        FROM parts JOIN {books} b USING (p) GROUP BY n, p"""
+
+
+def _moved(books: str, assigned: str) -> str:
+    return f"""SELECT p, e, coalesce(c.q, b.q) AS q FROM {books} b LEFT JOIN (
+            SELECT p, e, list(s ORDER BY i) AS q FROM (
+                SELECT p, m.e AS e, i, floor(sum(q[i])::DOUBLE / count(*))::BIGINT AS s
+                FROM (SELECT p, m, q, unnest(range(1, len(q) + 1)) AS i
+                      FROM {assigned} JOIN parts USING (n, p)) x GROUP BY 1, 2, 3) y
+            GROUP BY 1, 2) c USING (p, e)"""
+
+
+# Every part against every entry, without a tree.
+SQL["op11_codes"] = f"""
+    WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS n, vec_id, label,
+            list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS (SELECT n, p, v[p * w + 1:p * w + w] AS q
+            FROM (SELECT *, len(v) // 16 AS w, unnest(range(16)) AS p FROM kept) x),
+        b0 AS (SELECT p, n - 1 AS e, q FROM parts WHERE n <= 64),
+        a1 AS ({_assigned("b0")}), b1 AS ({_moved("b0", "a1")}),
+        a2 AS ({_assigned("b1")}), b2 AS ({_moved("b1", "a2")}), a3 AS ({_assigned("b2")}),
+        r AS (SELECT n, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code,
+            sum(m.d)::BIGINT AS error FROM a3 GROUP BY n),
+        h AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+            FROM (SELECT p, e, generate_subscripts(q, 1) AS i, unnest(q) AS c FROM b2) x)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+        codebooks_sha256 FROM kept JOIN r USING (n), h"""
