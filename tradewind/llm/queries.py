@@ -118,7 +118,7 @@ SQL["op7_decontaminate"] = r"""
 
 def _assigned(books: str) -> str:
     return f"""SELECT n, p, min({{'d': (list_sum(list_transform(list_zip(parts.q, b.q),
-            z -> (z[1] - z[2]) * (z[1] - z[2]))))::BIGINT, 'e': e}}) AS m
+            lambda z: (z[1] - z[2]) * (z[1] - z[2]))))::BIGINT, 'e': e}}) AS m
         FROM parts JOIN {books} b USING (p) GROUP BY n, p"""
 
 
@@ -134,9 +134,9 @@ def _moved(books: str, assigned: str) -> str:
 # Every part against every entry, without a tree.
 SQL["op11_codes"] = f"""
     WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS n, vec_id, label,
-            list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
             WHERE embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         parts AS (SELECT n, p, v[p * w + 1:p * w + w] AS q
             FROM (SELECT *, len(v) // 16 AS w, unnest(range(16)) AS p FROM kept) x),
         b0 AS (SELECT p, n - 1 AS e, q FROM parts WHERE n <= 64),
