@@ -49,10 +49,17 @@ def main() -> None:
     registry.load_all()
     names = sys.argv[1:] or HEADLINE
     timed("dash_kpi_daily", spark, folder)  # start the session's threads and code paths
-    seconds = {name: round(timed(name, spark, folder), 3) for name in names}
+    seconds, failed = {}, {}
+    for name in names:
+        try:
+            seconds[name] = round(timed(name, spark, folder), 3)
+        except Exception as error:  # the other figures still count
+            failed[name] = str(error).splitlines()[0][:200]
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3),
-        "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/"))}))
+        "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/")),
+        **({"failed": failed} if failed else {})}))
+    sys.exit(1 if failed else 0)
 
 
 if __name__ == "__main__":

@@ -223,8 +223,8 @@ def test_too_few_days_for_the_folds(spark):
 
 def test_smaller_forests_are_parts_of_the_largest(run):
     rows = run.train
-    whole = M.fit(rows, {"n_estimators": 6, "max_depth": 3, "min_samples_leaf": 2}, sizes=[2, 6])
-    first = M.fit(rows, {"n_estimators": 2, "max_depth": 3, "min_samples_leaf": 2}, sizes=[2, 6])
+    whole = M.fit(rows, {"n_estimators": 6, "max_depth": 3, "min_samples_leaf": 2})
+    first = M.fit(rows, {"n_estimators": 2, "max_depth": 3, "min_samples_leaf": 2})
     both = whole.by_size(rows, {"few": 2, "all": 6}).select("order_date", "series", "few", "all")
     alone = {(r["series"], r["order_date"]): r["prediction"] for r in first.transform(rows).collect()}
     assert all(r["few"] == alone[r["series"], r["order_date"]] for r in both.collect())
@@ -276,3 +276,14 @@ def test_output_tables(run, tmp_path):
     pivot = {r["metric_role"]: r for r in run.metrics_pivot().collect()}
     assert pivot["primary_tuning"]["daily_rmse"] > 0
     assert pivot["business_eval"]["daily_rmse"] is None
+
+
+def test_clearing_between_two_queries_starts_a_new_run(spark):
+    from tradewind import queries, session
+
+    queries.load_all()
+    folder = "/root/testdata/sf0.001"
+    first = queries.run("ml_random_forest", spark, folder).collect()
+    assert session.clear(spark) > 0
+    assert queries.run("ml_importance_table", spark, folder).count() == 20
+    assert sorted(queries.run("ml_random_forest", spark, folder).collect()) == sorted(first)

@@ -1,21 +1,20 @@
-"""Random-forest tuning and evaluation on time-ordered data with MLlib.
+"""Random-forest tuning and evaluation on time-ordered data.
 
 Training, scoring and metrics are Spark jobs; the driver holds one number per
-(setting, fold) and the fitted trees.
+(setting, fold) and the fitted trees of the chosen forest.
 """
 
 from __future__ import annotations
 
 import itertools
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from tradewind.forecast import forest
 from tradewind.forecast.features import FEATURES
 from tradewind.functions import columns as C
 
@@ -48,13 +47,11 @@ def assembled(rows: DataFrame) -> DataFrame:
 
 @dataclass
 class Forest:
-    """Trees fitted in parts: (model, number of trees) each.
+    """Bin edges and trees. A forest of n trees is the first n of any larger one, so one
+    gives the predictions for every size in a grid."""
 
-    A forest of n trees is the first parts of any larger one, so one set of parts gives
-    the predictions for every size in a grid.
-    """
-
-    parts: list[tuple[RandomForestRegressionModel, int]]
+    edges: list[np.ndarray]
+    grown: forest.Trees
 
     def transform(self, rows: DataFrame) -> DataFrame:
         """`rows` with `prediction`, the mean over all trees."""
@@ -62,40 +59,29 @@ class Forest:
 
     @property
     def trees(self) -> int:
-        return sum(n for _, n in self.parts)
+        return len(self.grown.feature)
 
     def by_size(self, rows: DataFrame, columns: dict[str, int]) -> DataFrame:
         """`rows` with a prediction column for each number of trees asked for."""
-        out, names = rows, []
-        for i, (model, _) in enumerate(self.parts):
-            names.append(f"_part{i}")
-            out = model.copy().setPredictionCol(names[-1]).transform(out)
-        made, total, trees = {}, F.lit(0.0), 0
-        for name, (_, n) in zip(names, self.parts):
-            total, trees = total + F.col(name) * n, trees + n
-            made[trees] = total / trees
-        return out.select(*rows.columns, *[made[n].alias(c) for c, n in columns.items()])
+        made = forest.predicted(F.col("features"), self.edges, self.grown, list(columns.values()),
+                                rows.sparkSession.sparkContext)
+        out = rows.withColumn("_made", made)
+        return out.select(*rows.columns, *[F.col("_made")[i].alias(c) for i, c in enumerate(columns)])
 
     def importances(self) -> list[float]:
-        total = sum(n * model.featureImportances.toArray() for model, n in self.parts)
+        """The share of each feature in the gains of a tree, averaged over the trees."""
+        total = np.zeros(len(self.edges))
+        for feature, gain in zip(self.grown.feature, self.grown.gain, strict=True):
+            own = np.bincount(feature[feature >= 0], gain[feature >= 0], minlength=len(total))
+            total += own / own.sum() if own.sum() else 0
         return (total / total.sum()).tolist() if total.sum() else total.tolist()
 
 
-def fit(train: DataFrame, setting: dict, seed: int = SEED, max_bins: int = MAX_BINS,
-        sizes: list[int] | None = None) -> Forest:
+def fit(train: DataFrame, setting: dict, seed: int = SEED, max_bins: int = MAX_BINS) -> Forest:
     """A forest that considers every feature at every split. `max_bins` bounds the split
-    points per feature; `sizes` are all numbers of trees that predictions are wanted for."""
-    sizes = sorted({*(sizes or []), setting["n_estimators"]})
-    sizes = sizes[: sizes.index(setting["n_estimators"]) + 1]
-    parts = []
-    for i, (before, size) in enumerate(zip([0, *sizes], sizes)):
-        parts.append((RandomForestRegressor(
-            featuresCol="features", labelCol="label", predictionCol="prediction",
-            numTrees=size - before, maxDepth=setting["max_depth"],
-            minInstancesPerNode=setting["min_samples_leaf"], featureSubsetStrategy="all",
-            maxBins=max_bins, seed=seed + i,
-        ).fit(train), size - before))
-    return Forest(parts)
+    points per feature; a leaf's size counts rows, however often a tree draws them."""
+    return Forest(*forest.fit(train, setting["n_estimators"], setting["max_depth"],
+                              setting["min_samples_leaf"], seed, max_bins))
 
 
 # --- splits ------------------------------------------------------------------
@@ -226,40 +212,25 @@ def _means(scores) -> dict[str, float]:
 
 def grid_search(
     train: DataFrame, grid: dict[str, list] | None = None, splits: int | None = None,
-    parallel: int = 4, seed: int = SEED, max_bins: int = MAX_BINS, fitted: Forest | None = None,
+    seed: int = SEED, max_bins: int = MAX_BINS, fitted: Forest | None = None,
 ) -> Search:
     """Smallest mean RMSE over time-ordered folds; ties go to the first setting.
 
-    `train` is an assembled, settled frame. All settings of one depth and leaf size share
-    the trees of the largest; such fits, for each fold, are independent jobs, submitted
-    from a few threads. `fitted` is the forest of a grid's only setting, if there is one.
+    `train` is an assembled, settled frame. The forests of all folds and settings are grown
+    and scored together; `fitted` is the forest of a grid's only setting, if there is one.
     """
-    spark = train.sparkSession
     grid = grid or GRID
     folds = fold_bounds(train, splits).orderBy("fold").collect()  # at most five rows
-    sizes = sorted(set(grid["n_estimators"]))
-
-    def score(task):
-        setting, fold = task
-        known = train.filter(F.col("order_date") < F.lit(fold["test_start"]))
-        unseen = train.filter((F.col("order_date") >= F.lit(fold["test_start"]))
-                              & (F.col("order_date") < F.lit(fold["test_end"])))
-        forest = fit(known, setting, seed, max_bins, sizes)
-        gaps = forest.by_size(unseen.select("label", "features"), {f"p{n}": n for n in sizes})
-        row = gaps.agg(*[F.sqrt(F.avg(F.pow(F.col(f"p{n}") - F.col("label"), 2))).alias(f"p{n}")
-                         for n in sizes]).first()
-        return [({**setting, "n_estimators": n}, fold["fold"], row[f"p{n}"]) for n in sizes]
-
-    shapes = settings({**grid, "n_estimators": sizes[-1:]})
-    tasks = [(s, f) for s in shapes for f in folds]
-    with ThreadPool(min(parallel, len(tasks))) as pool:
-        found = pool.map(inheritable_thread_target(spark)(score), tasks, chunksize=1)
-    by_key = {(str(s), fold): (s, fold, rmse) for part in found for s, fold, rmse in part}
+    found = forest.fold_errors(train, folds, sorted(set(grid["n_estimators"])), sorted(set(grid["max_depth"])),
+                               sorted(set(grid["min_samples_leaf"])), seed, max_bins)
+    errors = {(r["max_depth"], r["min_samples_leaf"], r["n_estimators"], r["fold"]): r["rmse"]
+              for r in found.collect()}  # one row a setting and fold
     ordered = settings(grid)
-    scores = [by_key[str(s), f["fold"]] for s in ordered for f in folds]
+    scores = [(s, f["fold"], errors[s["max_depth"], s["min_samples_leaf"], s["n_estimators"], f["fold"]])
+              for s in ordered for f in folds]
     means = _means(scores)
     best = min(ordered, key=lambda s: means[str(s)])
-    model = fitted or fit(train, best, seed, max_bins, sizes)
+    model = fitted or fit(train, best, seed, max_bins)
     return Search(scores, len(folds), best, means[str(best)], model)
 
 

@@ -28,7 +28,6 @@ class Settings:
     grid: dict[str, list] = field(default_factory=lambda: dict(M.GRID))
     splits: int | None = None
     seed: int = M.SEED
-    parallel: int = 4
     max_bins: int = M.MAX_BINS
     run_id: str | None = None
 
@@ -65,7 +64,7 @@ class Forecast:
         if self._search is None:
             s = self.settings
             self._search = M.grid_search(
-                self._checked_train, s.grid, s.splits, s.parallel, s.seed, s.max_bins, self._model)
+                self._checked_train, s.grid, s.splits, s.seed, s.max_bins, self._model)
             self._model = self._search.model
         return self._search
 

@@ -54,23 +54,17 @@ def dim_date(orders: DataFrame) -> DataFrame:
     )
 
 
-def _mean(column: str) -> Column:
-    """Average as double from an exact decimal sum (independent of row order)."""
-    return F.sum(column).cast("double") / F.count(column)
-
-
 def zip_places(geolocation: DataFrame) -> DataFrame:
-    """One row per zip prefix: mean coordinates, most frequent city and state."""
-    key = "geolocation_zip_code_prefix"
-    means = geolocation.groupBy(key).agg(
-        _mean("geolocation_lat").alias("customer_geo_lat"),
-        _mean("geolocation_lng").alias("customer_geo_lng"),
-    )
-    named = modes.grouped_modes(geolocation, [key], ["geolocation_city", "geolocation_state"])
-    return means.join(named, key).select(
-        F.col(key).alias("customer_zip_code_prefix"),
-        "customer_geo_lat",
-        "customer_geo_lng",
+    """One row per zip prefix: mean coordinates, most frequent city and state, all from one
+    pass over the locations. Means are exact decimal sums divided once."""
+    at = {"customer_geo_lat": "geolocation_lat", "customer_geo_lng": "geolocation_lng"}
+    sums = {name: F.col(c) for name, c in at.items()} | {
+        f"{name}_n": F.col(c).isNotNull().cast("long") for name, c in at.items()}
+    found = modes.grouped_modes(geolocation, ["geolocation_zip_code_prefix"],
+                                ["geolocation_city", "geolocation_state"], sums=sums)
+    return found.select(
+        F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"),
+        *[(F.col(name).cast("double") / F.nullif(F.col(f"{name}_n"), F.lit(0))).alias(name) for name in at],
         F.col("geolocation_city").alias("customer_geo_city"),
         F.col("geolocation_state").alias("customer_geo_state"),
     )

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tradewind import session
 from tradewind.forecast import features as X
 from tradewind.forecast import model as M
 from tradewind.forecast import recursive as R
@@ -14,9 +15,6 @@ from tradewind.queries import query
 
 # Queries that need a forest take the first setting of the declared grid.
 ONE = {name: values[:1] for name, values in M.GRID.items()}
-# The registered searches: every rule-based fold, two of three values a parameter, and a
-# tenth of the trees. README states what the whole grid takes.
-SEARCHED = {"n_estimators": [20, 30], "max_depth": [6, 8], "min_samples_leaf": [2, 3]}
 
 
 def daily(w):
@@ -33,9 +31,10 @@ _runs: dict[tuple, Forecast] = {}
 
 
 def forecast_of(w, grid=None, source=daily) -> Forecast:
-    """The run over a warehouse; queries on one input share its forest."""
+    """The run over a warehouse; queries on one input share its forest, until its stored
+    frames are cleared."""
     frame = source(w)
-    key = (w.spark.sparkContext.applicationId, tuple(sorted(frame.inputFiles())), source.__name__,
+    key = (session.generation(w.spark), tuple(sorted(frame.inputFiles())), source.__name__,
            str(grid))
     if key not in _runs:
         if len(_runs) > 8:
@@ -177,8 +176,8 @@ def _(w):
         F.inline("g"), "fold", "train_rows", "test_rows")
 
 
-_SEARCH_ROWS = f"""(SELECT d, l, t, f::INT AS fold, k FROM (SELECT unnest([6, 8]) AS d) a,
-    (SELECT unnest([2, 3]) AS l) b, (SELECT unnest([20, 30]) AS t) c,
+_SEARCH_ROWS = f"""(SELECT d, l, t, f::INT AS fold, k FROM (SELECT unnest([6, 8, 10]) AS d) a,
+    (SELECT unnest([2, 3, 5]) AS l) b, (SELECT unnest([200, 300, 500]) AS t) c,
     (SELECT k, unnest(range(k)) AS f FROM {_FOLDS} x) e)"""
 
 
@@ -187,7 +186,7 @@ _SEARCH_ROWS = f"""(SELECT d, l, t, f::INT AS fold, k FROM (SELECT unnest([6, 8]
         || t || '}}' AS setting, fold, true AS scored, true AS mean_of_folds, 1 AS best_settings
     FROM {_SEARCH_ROWS} s""")
 def _(w):
-    rows = forecast_of(w, SEARCHED).search.as_rows(w.spark)
+    rows = forecast_of(w, M.GRID).search.as_rows(w.spark)
     own = Window.partitionBy("setting")
     best = rows.filter("is_best").agg(F.countDistinct("setting").cast("int"))
     lowest = rows.agg(F.min("mean_rmse"))
@@ -199,10 +198,10 @@ def _(w):
         best.scalar().alias("best_settings"))
 
 
-@query("ml_tune", f"SELECT k AS cv_splits, count(*) AS fits, 2 * 2 * 2 AS settings "
+@query("ml_tune", f"SELECT k AS cv_splits, count(*) AS fits, 3 * 3 * 3 AS settings "
                   f"FROM {_SEARCH_ROWS} s GROUP BY k")
 def _(w):
-    search = forecast_of(w, SEARCHED).search
+    search = forecast_of(w, M.GRID).search
     return search.as_rows(w.spark).filter("rmse > 0 AND mean_rmse >= 0").agg(
         F.lit(search.splits).alias("cv_splits"), F.count(F.lit(1)).alias("fits"),
         F.countDistinct("setting").cast("int").alias("settings"))

@@ -58,6 +58,7 @@ def use_local_folder(spark: SparkSession) -> None:
 
 
 _written: dict[str, list[str]] = {}
+_cleared: dict[str, int] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -79,9 +80,18 @@ def clear(spark: SparkSession) -> int:
     paths = _written.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         drop(spark, path)
+    app = spark.sparkContext.applicationId
+    _cleared[app] = _cleared.get(app, 0) + 1
     return len(paths)
 
 
+def generation(spark: SparkSession) -> tuple[str, int]:
+    """Changes whenever `clear` has deleted scratch tables: what is kept between calls and
+    reads such tables is to be kept under this key."""
+    app = spark.sparkContext.applicationId
+    return app, _cleared.get(app, 0)
+
+
 def settled(df, name: str = "settled"):
     """Write `df` once below the shared folder and return a scan of it.
 
