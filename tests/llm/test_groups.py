@@ -163,11 +163,28 @@ def test_line_dedup(spark):
     assert cases.ids(linededup.dedup(cases.frame(spark)).collect()) == cases.all_ids()
 
 
-def test_frequent_line_alone_stays(spark):
+def test_a_line_goes_by_the_same_rule_among_few_and_many(spark):
+    """The share of the documents that hold a line plays no part: it stays in the first."""
     rng = random.Random(5)
     docs = [(i, f"this line is everywhere\n{cases.prose(rng, 9)}") for i in range(100)]
-    done = linededup.dedup(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert done.filter("n_removed > 0").count() == 0
+    others = [(i, cases.prose(rng, 12)) for i in range(1000, 4000)]
+    found = [linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+             .filter("n_removed > 0").select("doc_id", "text").collect() for rows in (docs, docs + others)]
+    assert sorted(found[0]) == sorted(found[1]) and cases.ids(found[0]) == list(range(1, 100))
+
+
+def test_python_runs_once_per_document(spark):
+    """Filters and joins beside a Python function may make it run twice."""
+    docs = cases.frame(spark)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    kept = []
+    keep = linededup.stored
+    linededup.stored = lambda df, name: kept.append(plan(df)) or keep(df, name)
+    try:
+        linededup.dedup(docs)
+    finally:
+        linededup.stored = keep
+    assert all(p.count("ArrowEvalPython") <= 1 for p in kept) and kept
 
 
 def test_holders_alone_do_not_keep_a_line(spark):

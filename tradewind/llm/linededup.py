@@ -2,10 +2,8 @@
 
 Documents are ordered by (id, hash of the text); null ids come last. Every line of at
 least `MIN_WORDS` words links a document to the nearest earlier one that holds it
-(`links`). Such a pair is aligned. Only a short line, of fewer than `LONG` words, that more
-than half of all documents and more than `RARE` hold is no overlap by itself: it needs a
-second shared line. Neighbouring lines of which one is short link as one key too, so they
-need not name the same partner one by one. Shares of the documents do not move with their number. Patience diff
+(`links`), however many hold it. Neighbouring lines of which one has fewer than `LONG` words
+link as one key too, so they need not name the same partner one by one. Every such pair is aligned: patience diff
 aligns the pair's line hashes, and what lies in common blocks is deleted from the later
 document; a line goes if any of the document's pairs deletes it. The lines of exact
 copies all go, but for the first copy's.
@@ -29,7 +27,7 @@ from pyspark.sql import types as T
 from tradewind.llm.frames import stored
 from tradewind.llm.links import linked
 
-MIN_WORDS, LONG, RARE = 3, 8, 64
+MIN_WORDS, LONG = 3, 8
 HASH = 16
 
 
@@ -41,10 +39,10 @@ def document(id_col: str, text_col: str) -> Column:
 
 
 @F.pandas_udf(T.StructType().add("lines", T.BinaryType()).add("keys", T.ArrayType(T.BinaryType()))
-              .add("proof", T.ArrayType(T.BinaryType())))
+              .add("pairs", T.ArrayType(T.BinaryType())))
 def line_hashes(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """The hashes of all lines, joined, and the distinct ones of lines that can link: short
-    ones, and long ones and neighbours, which prove an overlap by themselves."""
+    """The hashes of all lines, joined, the distinct ones of lines that link, and those of
+    neighbouring lines."""
     import xxhash
 
     for part in parts:
@@ -52,20 +50,17 @@ def line_hashes(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for text in part:
             lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
             hashes = [xxhash.xxh3_128_digest(line.strip()) for line in lines]
-            short, proof, last = {}, {}, None
+            keys, pairs, last = {}, {}, None
             for h, line in zip(hashes, lines, strict=True):
                 n = len(line.split())
                 if n < MIN_WORDS:
                     continue
-                if n >= LONG:
-                    proof[h] = None
-                else:
-                    short[h] = None
+                keys[h] = None
                 if last and min(n, last[1]) < LONG:
-                    proof[xxhash.xxh3_128_digest(last[0] + h)] = None
+                    pairs[xxhash.xxh3_128_digest(last[0] + h)] = None
                 last = h, n
-            rows.append((b"".join(hashes), list(short), list(proof)))
-        yield pd.DataFrame(rows, columns=["lines", "keys", "proof"])
+            rows.append((b"".join(hashes), list(keys), list(pairs)))
+        yield pd.DataFrame(rows, columns=["lines", "keys", "pairs"])
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -151,23 +146,17 @@ def without(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator
 
 
 def overlaps(lines: DataFrame) -> DataFrame:
-    """(doc, partner) to align, from lines(doc, lines, keys, proof)."""
-    key = lambda name, proof: F.transform(name, lambda x: F.struct(
-        x.alias("key"), F.lit(proof).alias("at")))
-    links = linked(lines.select("doc", F.explode(F.concat(key("keys", 0), key("proof", 1))).alias("x"))
-                   .select("x.key", "doc", "x.at"))
-    usual = max(RARE, lines.count() // 2)
-    return (links.groupBy("doc", "partner").agg(
-        F.count("*").alias("shared"), F.min("n").alias("n"), F.max("at").alias("proof"))
-        .filter((F.col("n") <= usual) | (F.col("shared") > 1) | (F.col("proof") > 0))
-        .select("doc", "partner"))
+    """(doc, partner) to align, from lines(doc, lines, keys, pairs)."""
+    keys = F.explode(F.concat("keys", "pairs")).alias("key")
+    links = linked(lines.select("doc", keys).withColumn("at", F.lit(0)))
+    return links.select("doc", "partner").distinct()
 
 
 def removals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, bitmap, copy) of the documents that lose lines."""
     rows = stored(docs.select(document(id_col, text_col).alias("doc"),
                               line_hashes(F.col(text_col).cast("string")).alias("x"))
-                  .select("doc", "x.*").filter("length(lines) > 0"), "lines")
+                  .select("doc", "x.*"), "lines")
     first = stored(rows.groupBy(F.col("doc.hash").alias("hash")).agg(F.min("doc").alias("doc")),
                    "first")
     lines = stored(rows.join(first.select("doc"), "doc").dropDuplicates(["doc"]), "firsts")

@@ -139,12 +139,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
         return None, None
     ratio = (np.log((target + 1) / (target.sum() + BUCKETS))
              - np.log((raw + 1) / (raw.sum() + BUCKETS)))
-    tested = judged(marked.filter("good is not null and not train"), F.col("text"),
-                    (ratio, None)).filter("not m.base_failed")
+    # Stored before it is measured: a filter or join beside a Python function may be moved
+    # so that the function runs twice or on every document. So failures are left out last.
+    examples = stored(marked.filter("good is not null and not train").select("text", "good"), "examples")
+    tested = judged(examples, F.col("text"), (ratio, None))
     at = F.floor((F.col("m.score") - LOW) / ((HIGH - LOW) / STEPS))
-    bins = tested.select("good", F.greatest(F.lit(0), F.least(F.lit(STEPS), at)).alias("at"))
-    return ratio, best_threshold([(r.at, r.good, r.n) for r in bins.groupBy("at", "good").agg(
-        F.count("*").alias("n")).collect()])
+    bins = tested.select("good", F.greatest(F.lit(0), F.least(F.lit(STEPS), at)).alias("at"),
+                         F.col("m.base_failed").alias("failed")).groupBy("at", "good", "failed")
+    return ratio, best_threshold([(r["at"], r["good"], r["n"]) for r in bins.agg(
+        F.count("*").alias("n")).collect() if not r["failed"]])
 
 
 def scorer(docs: DataFrame, ratio: np.ndarray | None):
