@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind import schema
+from tradewind.sources import splitcsv
 
 # An unquoted empty field is NULL, a quoted one is an empty string. The marker
 # must be a value no file holds.
@@ -18,14 +19,13 @@ def csv_typed(
 ) -> DataFrame:
     """Headered CSV with `"` as quote and escape; a malformed value stops the load.
 
-    Files stay splittable unless `multiline` says that records hold line breaks.
+    Files are split over tasks, also where `multiline` says that records hold line breaks.
     """
-    return (
-        spark.read.schema(columns)
-        .options(header=True, quote='"', escape='"', mode="FAILFAST", multiLine=multiline,
-                 nullValue=_NULL_MARK, enforceSchema=True)
-        .csv(path)
-    )
+    options = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST",
+               "nullValue": _NULL_MARK, "enforceSchema": True}
+    if multiline:
+        return splitcsv.read(spark, path, columns, options)
+    return spark.read.schema(columns).options(**options).csv(path)
 
 
 def raw_csv(spark: SparkSession, table: str, path: str | list[str]) -> DataFrame:
