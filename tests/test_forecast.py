@@ -235,15 +235,15 @@ def test_a_violation_changes_no_stored_table(daily, tmp_path):
     small = {"n_estimators": [2], "max_depth": [2], "min_samples_leaf": [2]}
     once = Forecast(daily, Settings(test_months=1, horizon_days=2, splits=2, run_id="r3", grid=small))
     once.write(str(tmp_path))
-    before = {t: once.spark.read.parquet(f"{tmp_path}/{t}").collect() for t in schema.ML}
+    before = {t: readers.table_scan(once.spark, f"{tmp_path}/{t}").collect() for t in schema.ML}
     again = Forecast(daily, Settings(test_months=1, horizon_days=2, splits=2, run_id="r4", grid=small))
     doubled = again.importance()
     again.importance = lambda: doubled.union(doubled)
     with pytest.raises(ValueError, match="ml_rf_feature_importance"):
         again.write(str(tmp_path))
     for table, rows in before.items():
-        assert once.spark.read.parquet(f"{tmp_path}/{table}").collect() == rows
-        assert [f.dataType for f in again.spark.read.parquet(f"{tmp_path}/{table}").schema.fields
+        assert readers.table_scan(once.spark, f"{tmp_path}/{table}").collect() == rows
+        assert [f.dataType for f in readers.table_scan(again.spark, f"{tmp_path}/{table}").schema.fields
                 if f.name != "series"] == [f.dataType for f in schema.ML[table].fields]
 
 

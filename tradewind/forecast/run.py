@@ -16,6 +16,7 @@ from tradewind.forecast import recursive as R
 from tradewind.functions import columns as C
 from tradewind.session import settled
 from tradewind.sources import sinks
+from tradewind.sources.snapshots import Snapshots
 
 MODEL = "RandomForestRegressor"
 
@@ -173,8 +174,8 @@ class Forecast:
         }
 
     def write(self, folder: str) -> dict[str, DataFrame]:
-        """Store the tables, and `ml_forecast_rejects`. The keys and NULLs of all of them are
-        checked before the first is replaced."""
+        """Store the tables, and `ml_forecast_rejects`, and replace all of them at the same
+        moment. The keys and NULLs of all are checked before."""
         ready = {name: settled(df, name) for name, df in self.tables().items()}
         broken = []
         for name, df in ready.items():
@@ -183,6 +184,7 @@ class Forecast:
                        sinks.violations(df, schema.ML[name].names, key)]
         if broken:
             raise ValueError(f"constraints violated: {broken}")
-        ready["ml_forecast_rejects"] = self.rejects()
-        return {name: sinks.overwrite(df, f"{folder.rstrip('/')}/{name}")
-                for name, df in ready.items()}
+        store = Snapshots(self.spark, folder)
+        made = store.write(ready | {"ml_forecast_rejects": self.rejects()})
+        store.vacuum()
+        return made

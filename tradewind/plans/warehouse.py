@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind import schema
 from tradewind.plans import gold, marts, retention, silver
-from tradewind.sources import readers, sinks, standins
+from tradewind.sources import readers, standins
+from tradewind.sources.snapshots import Snapshots
 
 # Derived tables in build order. Each entry maps the warehouse to a DataFrame.
 TABLES: dict[str, Callable[["Warehouse"], DataFrame]] = {
@@ -104,9 +105,18 @@ class Warehouse:
 
     def materialise(self, folder: str, *names: str) -> "Warehouse":
         """Write tables (all by default) in build order; later ones read the
-        written ones, so a layer is computed once and lineage stays short."""
-        for name in names or TABLES:
-            self._tables[name] = sinks.overwrite(
-                self[name], f"{folder.rstrip('/')}/{name}", PARTITIONED.get(name), SORTED.get(name))
-            self._stored.add(name)
+        written ones, so a layer is computed once and lineage stays short. All of them
+        replace what the folder held at the same moment; a failure leaves it as it was."""
+        store = Snapshots(self.spark, folder)
+        before = dict(self._tables), set(self._stored)
+        try:
+            with store.writer() as out:
+                for name in names or TABLES:
+                    self._tables[name] = out.add(
+                        name, self[name], PARTITIONED.get(name), SORTED.get(name))
+                    self._stored.add(name)
+        except BaseException:
+            self._tables, self._stored = before
+            raise
+        store.vacuum()
         return self

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind import schema
-from tradewind.sources import splitcsv
+from tradewind.sources import snapshots, splitcsv
 
 # An unquoted empty field is NULL, a quoted one is an empty string. The marker
 # must be a value no file holds.
@@ -43,7 +43,7 @@ def json_landing(spark: SparkSession, path: str, columns: T.StructType) -> DataF
 
 def table_scan(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """Columns of a stored table; filters added by the caller reach the files."""
-    df = spark.read.parquet(path)
+    df = snapshots.scan(spark, path)
     return df.select(*columns) if columns else df
 
 

@@ -9,28 +9,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.session import drop, scratch_path, settled
+from tradewind.sources.snapshots import TABLE, Snapshots
 
 
 def overwrite(df: DataFrame, path: str, partition_by: str | None = None,
               sort_by: str | None = None) -> DataFrame:
     """Rebuild a stored table from a query and return a scan of it.
 
-    `sort_by` orders the rows inside each file, so that lookups skip row groups.
-
-    A partitioned table is rebalanced by its partition column: adaptive execution
-    splits a partition that holds most rows over many tasks of the advisory size
-    and joins small ones, so files are neither huge nor many.
+    The new version appears when all of it is written, so the query may read the table it
+    replaces; the version before is kept for readers at work, older ones go. See
+    `snapshots` for the options and for several tables at once.
     """
-    if partition_by:
-        balanced = df.hint("rebalance", F.col(partition_by))
-        if sort_by:
-            balanced = balanced.sortWithinPartitions(partition_by, sort_by)
-        balanced.write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
-        if sort_by:
-            df = df.sortWithinPartitions(sort_by)
-        df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    store = Snapshots(df.sparkSession, path)
+    made = store.write({TABLE: df}, {TABLE: partition_by}, {TABLE: sort_by})[TABLE]
+    store.vacuum()
+    return made
 
 
 @contextmanager
