@@ -116,3 +116,49 @@ def test_histogram(spark):
     flat = explore.gmv_histogram(df.filter("order_gmv = 250")).filter("orders > 0").collect()
     assert [(r["bin"], r["orders"]) for r in flat] == [(25, 300)]
     assert math.isclose(flat[0]["bin_left"], 250.0)
+
+
+def spread_out(kind, n):
+    """Distributions on which bins of equal width put nearly all rows into one."""
+    rng = random.Random(7)
+    values = {
+        "huge": lambda i: 1e300 if i == 5 else rng.random(),
+        "infinite": lambda i: [float("inf"), float("-inf"), float("nan")][i % 3] if i < 30 else rng.gauss(0, 1),
+        "exponents": lambda i: 10.0 ** rng.uniform(-300, 300) * rng.choice([1, -1]),
+        "one value": lambda i: 3.0 if i % 10 else rng.random(),
+        "nulls": lambda i: None if i % 2 else rng.choice([1.0, 1e200, 2.0, rng.random()]),
+        "steps": lambda i: float(2 ** (i % 50)),
+    }[kind]
+    return [(values(i), i) for i in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["huge", "infinite", "exponents", "one value", "nulls", "steps"])
+def test_ranks_on_any_distribution(spark, kind, monkeypatch):
+    monkeypatch.setattr(rank, "ROWS_A_BIN", 20)
+    rows = spread_out(kind, 3000)
+    df = spark.createDataFrame(rows, "v double, id int").repartition(6)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] is not None and r[0] != r[0],
+                                        0 if r[0] is None or r[0] != r[0] else r[0], r[1]))
+    spots = [1, 2, 31, 700, 1500, 1501, 2222, 2990, 3000]
+    found = rank.rows_at_ranks(df, [F.col("v"), F.col("id")], lambda n: spots).collect()
+    assert {r["position"]: r["id"] for r in found} == {p: order[p - 1][1] for p in spots}
+    tiles = {r["id"]: r["t"] for r in rank.with_ntile(df, "t", 5, [F.col("v"), F.col("id")]).collect()}
+    assert [tiles[i] for _, i in order] == [1 + k // 600 for k in range(3000)]
+
+
+def test_bins_that_hold_a_position_are_small(spark):
+    """A million doubles, one of them huge and some infinite: no bin of many values is left."""
+    x = F.rand(3)
+    df = spark.range(0, 1_000_000, numPartitions=8).select(
+        F.when(F.col("id") == 7, 1e300).when(F.col("id") % 100_000 == 9, float("inf")).otherwise(x).alias("_k0"),
+        F.lit(1).cast("long").alias("_w"))
+    keep, rank.ROWS_A_BIN = rank.ROWS_A_BIN, 2000
+    try:
+        at, bins, inside = rank._narrowed(df, F.col("_k0"), {0: 1, 1: 250_000, 2: 500_000, 3: 999_999})
+    finally:
+        rank.ROWS_A_BIN = keep
+    sizes = dict(bins)
+    assert sum(sizes.values()) == 1_000_000
+    assert all(sizes[b] <= 2000 for b in inside)
+    exact = df.filter(at == next(b for b, p in inside.items() if 1 in p)).agg(F.min("_k0"), F.max("_k0")).first()
+    assert exact[0] <= df.agg(F.percentile("_k0", 0.25)).first()[0] * 1.001 and exact[1] < 0.26

@@ -1,7 +1,8 @@
 """Global ranks, quantiles and running totals without a single-task window.
 
-Rows at a few positions are found by counting: a histogram of the leading key, a finer
-one inside the bins that hold a position, then the counts of the values left there. Only
+Rows at a few positions are found by counting: rows between pivots of the leading key, then,
+in rounds, between finer pivots inside the bins that hold a position, until such a bin is
+small or a single value, then the counts of the values left there. Only
 rows that tie on such a value are ordered by the other keys.
 
 Totals over a whole order need every row: rows are range partitioned by the whole sort
@@ -23,7 +24,8 @@ from pyspark.sql import types as T
 from tradewind.session import settled
 
 
-BINS, ROWS_A_BUCKET = 4096, 1_000_000
+ROWS_A_BUCKET = ROWS_A_BIN = 1_000_000
+PIVOTS, ACCURACY = 64, 2000
 
 
 class Split:
@@ -83,38 +85,60 @@ def _held(sums: list[tuple], wanted: dict[int, int]) -> dict:
     return out
 
 
-def _binned(rows: DataFrame, number: Column, low: float, high: float) -> Column:
-    wide = (high - low) or 1.0
-    at = F.floor((number - F.lit(low)) * F.lit(BINS / wide))
-    return F.when(number.isNull(), -1).otherwise(F.greatest(F.lit(0), F.least(F.lit(BINS - 1), at)))
+def _pivots(number: Column, held: list) -> Column:
+    """The bin of a number between ascending pivots: 2 i + 1 at the i-th, 2 i below it and above the
+    one before. A balanced tree of comparisons, NaN above all numbers."""
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(2 * lo)
+        mid = (lo + hi) // 2
+        at = F.lit(held[mid])
+        return F.when(number < at, node(lo, mid)).when(number <= at, F.lit(2 * mid + 1)).otherwise(
+            node(mid + 1, hi))
+
+    return F.when(number.isNull(), F.lit(-1)).otherwise(node(0, len(held)))
+
+
+def _narrowed(rows: DataFrame, number: Column, wanted: dict[int, int]) -> tuple[Column, list, dict]:
+    """(bin of a row, (bin, weight) ascending, {bin: positions inside}): bins so narrow that one with a
+    position has at most `ROWS_A_BIN` rows or a single value, on any distribution.
+
+    Pivots are approximate quantiles of the rows in work, so they follow the values wherever
+    these lie. Each round counts exactly between them and goes on inside the bins that hold a
+    position and are still too large. A pivot is a bin of its own: a frequent value is
+    set apart, and what is left between two pivots has fewer values than before.
+    """
+    shares = [i / PIVOTS for i in range(PIVOTS + 1)]
+    found = rows.agg(F.percentile_approx(number, shares, ACCURACY)).first()[0] or []
+    while True:
+        held = sorted(set(found), key=lambda v: (v != v, v))
+        at = _pivots(number, held)
+        bins = rows.groupBy(at.alias("bin")).agg(
+            F.sum("_w").alias("w"), F.count(F.lit(1)).alias("n"), (F.min(number) < F.max(number)).alias("wide")
+        ).orderBy("bin").collect()  # two a pivot
+        inside = _held([(r["bin"], r["w"]) for r in bins], wanted)
+        large = [r["bin"] for r in bins if r["bin"] in inside and r["wide"] and r["n"] > ROWS_A_BIN]
+        if not large:
+            return at, [(r["bin"], r["w"]) for r in bins], inside
+        finer = rows.filter(at.isin(large)).groupBy(at.alias("bin")).agg(
+            F.percentile_approx(number, shares, ACCURACY).alias("p")).collect()
+        # Only pivots beside a bin with a position are of further use.
+        found = [held[i] for i in sorted({j for b in inside for j in (b // 2 - 1, b // 2) if 0 <= j < len(held)})]
+        found += [v for r in finer for v in r["p"]]
 
 
 def _positions_of_values(rows: DataFrame, kind: T.DataType, wanted: dict[int, int]) -> DataFrame:
     """(rank_no, value, at): the leading key `_k0` at each position of rows(_k0, _w), and the
     position among the rows with that value."""
     spark, number = rows.sparkSession, _number("_k0", kind)
-    low, high = rows.agg(F.min(number), F.max(number)).first()
-    low, high = low or 0.0, high or 0.0
-    coarse = rows.withColumn("_bin", _binned(rows, number, low, high))
-    sums = sorted(map(tuple, coarse.groupBy("_bin").agg(F.sum("_w")).collect()))
-    held = _held(sums, wanted)
-    step = ((high - low) or 1.0) / BINS
-    start = F.lit(low) + F.col("_bin") * F.lit(step)
-    inner = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((number - start) * (BINS / step))))
-    fine = coarse.filter(F.col("_bin").isin(list(held))).withColumn(
-        "_fine", F.when(number.isNull(), 0).otherwise(inner))
-    spots = []
-    found = sorted(map(tuple, fine.groupBy("_bin", "_fine").agg(F.sum("_w")).collect()))
-    for bin_no, inside in held.items():
-        here = [((b, f), w) for b, f, w in found if b == bin_no]
-        spots += [(b, f, i, p) for (b, f), at in _held(here, inside).items() for i, p in at.items()]
-    asked = spark.createDataFrame(spots, "_bin long, _fine long, rank_no int, _p long")
-    counts = fine.join(F.broadcast(asked.select("_bin", "_fine").distinct()), ["_bin", "_fine"]) \
-        .groupBy("_bin", "_fine", "_k0").agg(F.sum("_w").alias("_w"))
-    upto = Window.partitionBy("_bin", "_fine").orderBy("_k0").rowsBetween(
-        Window.unboundedPreceding, 0)
+    at, _, inside = _narrowed(rows, number, wanted)
+    spots = [(b, i, p) for b, places in inside.items() for i, p in places.items()]
+    asked = spark.createDataFrame(spots, "_bin int, rank_no int, _p long")
+    counts = rows.withColumn("_bin", at).filter(F.col("_bin").isin(list(inside))).groupBy(
+        "_bin", "_k0").agg(F.sum("_w").alias("_w"))
+    upto = Window.partitionBy("_bin").orderBy("_k0").rowsBetween(Window.unboundedPreceding, 0)
     placed = counts.withColumn("_to", F.sum("_w").over(upto))
-    return placed.join(F.broadcast(asked), ["_bin", "_fine"]).filter(
+    return placed.join(F.broadcast(asked), "_bin").filter(
         (F.col("_p") <= F.col("_to")) & (F.col("_p") > F.col("_to") - F.col("_w"))).select(
         "rank_no", F.col("_k0").alias("value"), (F.col("_p") - F.col("_to") + F.col("_w")).alias("at"),
         F.col("_w").alias("ties"))
