@@ -116,6 +116,16 @@ def test_shards(spark):
     assert sharding.report(df.limit(0), 40).count() == 0
 
 
+def test_equal_rows_are_divided_over_tasks(spark):
+    cases.frame(spark)
+    same = spark.range(0, 300_000, numPartitions=8).selectExpr("cast(null as long) doc_id", "cast(null as string) text")
+    few = spark.range(0, 3000).selectExpr("id doc_id", "'t' || id text")
+    rows = sharding.split(sharding.sizes(same.union(few), "doc_id", "text"), 40)
+    assert rows.groupBy("range").count().agg({"count": "max"}).first()[0] < 3030
+    counts = [r["count"] for r in sharding.report(same, 40).groupBy("shard").count().collect()]
+    assert len(counts) == 40 and max(counts) - min(counts) <= 2
+
+
 def test_shards_written(spark, tmp_path):
     df = cases.frame(spark).withColumnRenamed("range", "shard_of")
     sharding.write(df, 4, str(tmp_path / "out"))

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from tradewind.llm.attention import Coding, Trainer, flat, initial, leaders, score, shaped
 from tradewind.llm.frames import blocks, stored, texts
 
-FREQUENT, WARM, RATE = 100_000, 1_000, 0.01
+FREQUENT, WARM, WARM_WORDS, RATE = 100_000, 1_000, 500_000, 0.01
 MODULUS, HELD_OUT = 7, 2
 KEPT_WORDS, KEPT_IDS = 1_000_000, 200_000
 
@@ -194,6 +194,16 @@ def trained(train: DataFrame, coding: Coding, weights: dict, end: int, rate: flo
     return shaped(rows.sort_values("i")["x"].to_numpy()) if len(rows) else weights
 
 
+def first_fit(train: DataFrame) -> DataFrame:
+    """The rows of the first fit, in one task: `WARM` of them by a hash, or as many as hold
+    `WARM_WORDS` words. Only their numbers are sorted; their ids are read where they lie."""
+    order = F.xxhash64("doc_id", "n_tokens", "n_known")
+    chosen = train.select(order.alias("h"), "uid", "n_tokens").orderBy("h", "uid").limit(WARM).toPandas()
+    within = chosen[(chosen["n_tokens"].cumsum() - chosen["n_tokens"]) < WARM_WORDS]
+    uids = [int(u) for u in within["uid"]]
+    return train.filter(F.col("uid").isin(uids)).select("ids").repartition(1)
+
+
 def scores(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
@@ -212,7 +222,7 @@ def scores(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     train = based_rows.filter("not held_out")
     once_each = id_counts(train, end + 1)
     coding = Coding(once_each, id_counts(train, end + 1, leaders(once_each)))
-    few = train.orderBy(F.xxhash64("doc_id", "uid")).limit(WARM).coalesce(1)
+    few = first_fit(train)
     weights = trained(few, coding, initial(), end, RATE)
     weights = trained(train, coding, weights, end, RATE / 4)
     model = docs.sparkSession.sparkContext.broadcast((coding, weights))

@@ -42,10 +42,10 @@ def sizes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.monotonically_increasing_id().alias("row")), "sizes")
 
 
-def key_bytes(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    """Keys as 16 bytes that compare like (h1, h2)."""
-    both = np.stack([h1, h2], axis=1).astype(np.int64).view(np.uint64) ^ np.uint64(SIGN)
-    return np.ascontiguousarray(both.astype(">u8")).view("S16").ravel()
+def key_bytes(*parts: np.ndarray) -> np.ndarray:
+    """Keys as bytes that compare like the tuple (h1, h2, row)."""
+    both = np.stack(parts, axis=1).astype(np.int64).view(np.uint64) ^ np.uint64(SIGN)
+    return np.ascontiguousarray(both.astype(">u8")).view(f"S{8 * len(parts)}").ravel()
 
 
 def drawn(rows: DataFrame, chance: Column) -> DataFrame:
@@ -66,12 +66,12 @@ def ranged(rows: DataFrame, splitters: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(splitters)
 
     @F.pandas_udf(T.IntegerType())
-    def find(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for h1, h2 in parts:
-            keys = key_bytes(h1.to_numpy(), h2.to_numpy())
+    def find(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for h1, h2, row in parts:
+            keys = key_bytes(h1.to_numpy(), h2.to_numpy(), row.to_numpy())
             yield pd.Series(np.searchsorted(shared.value, keys, side="right").astype(np.int32))
 
-    return rows.withColumn("range", find("h1", "h2"))
+    return rows.withColumn("range", find("h1", "h2", "row"))
 
 
 def totals(rows: DataFrame) -> pd.DataFrame:
@@ -86,7 +86,7 @@ def split(rows: DataFrame, shards: int) -> DataFrame:
     sample = drawn(rows, F.col("size") * (parts * SAMPLES / max(total, 1)))
     h1 = sample.select("h1").toPandas()["h1"].to_numpy(np.int64)  # about parts * SAMPLES keys
     least = np.full(len(h1), -SIGN, np.int64)  # equal texts stay on one side
-    splitters = boundaries(key_bytes(h1, least), parts)
+    splitters = boundaries(key_bytes(h1, least, least), parts)
     first = ranged(rows, splitters)
     found = totals(first)
     full = found[found["bytes"] > 2 * total / parts]
@@ -97,9 +97,9 @@ def split(rows: DataFrame, shards: int) -> DataFrame:
             [(r, float(n * SAMPLES / b)) for (r, n), b in
              zip(extra.items(), full["bytes"].tolist(), strict=True)], "range int, w double")
         inside = drawn(first.join(F.broadcast(weights), "range"), F.col("size") * F.col("w"))
-        keys = inside.select("range", "h1", "h2").toPandas()
+        keys = inside.select("range", "h1", "h2", "row").toPandas()
         splitters = np.unique(np.concatenate([splitters, *[
-            boundaries(key_bytes(g["h1"].to_numpy(), g["h2"].to_numpy()), extra[r])
+            boundaries(key_bytes(g["h1"].to_numpy(), g["h2"].to_numpy(), g["row"].to_numpy()), extra[r])
             for r, g in keys.groupby("range")]]))
         first = ranged(rows, splitters)
     return first
