@@ -178,18 +178,18 @@ def test_empty_tables_are_skipped(w):
     tables = {t: df.limit(0) for t, df in w.raw.items()}
     for check in (quality.critical_null, quality.timestamp_parse, quality.category_domain,
                   quality.numeric_rules, quality.numeric_null_rate):
-        assert {r["status"] for r in check(tables).collect()} == {"SKIP (empty table)"}
+        assert {r["status"] for r in check(tables).collect()} == {quality.EMPTY}
     assert {r["status"] for r in quality.referential_integrity(tables).collect()} == {
-        "SKIP (nothing to check)"}
-    assert {r["status"] for r in quality.timestamp_range(tables).collect()} == {"SKIP (all null)"}
+        quality.NO_CHILD}
+    assert {r["status"] for r in quality.timestamp_range(tables).collect()} == {quality.ALL_NULL}
     gaps = quality.missing_days_summary(tables["raw_orders"]).first()
-    assert (gaps["status"], gaps["expected_days_in_range"]) == ("SKIP (no order dates)", 0)
+    assert (gaps["status"], gaps["expected_days_in_range"]) == (quality.NO_DAY, 0)
 
 
 def test_missing_table_fails_row_count(w):
     tables = {t: df for t, df in w.raw.items() if t != "raw_sellers"}
     rows = by(quality.row_count(tables), "table_name")
-    assert rows["raw_sellers"]["status"] == "FAIL (table missing or empty)"
+    assert rows["raw_sellers"]["status"] == quality.NO_TABLE
 
 
 def test_kpi_checks_pass(w):
