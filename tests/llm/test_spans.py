@@ -7,6 +7,7 @@ import random
 import re
 
 import cases
+from pyspark.sql import functions as F
 
 from tradewind.llm import pii, secrets
 
@@ -139,3 +140,25 @@ def test_odd_documents(spark):
     for report in (pii.report, secrets.report):
         assert cases.ids(report(df).collect()) == cases.all_ids()
         assert report(df.limit(0)).count() == 0
+
+
+def test_pii_of_one_long_text(spark):
+    """Positions are summed in blocks and seeds found by halving: the same at every length."""
+    for n in (31, 33, 64, 65, 40_000):
+        text = "".join(f"a{i}@b.cc, " for i in range(n))
+        row = pii.report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+        want = ",".join(f"email:{m.start()}:{m.end()}" for m in re.finditer(r"a[0-9]+@b\.cc", text))
+        assert row["n_email"] == n and row["spans"] == want and row["n_added"] == 0
+
+
+def test_pii_overlap_by_halving(spark):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(200):
+        cuts = sorted(rng.sample(range(60), 2 * rng.randrange(6)))
+        s = rng.randrange(58)
+        rows.append(([(a, 0, b) for a, b in zip(cuts[::2], cuts[1::2], strict=True)], s,
+                     s + rng.randrange(1, 4)))
+    df = spark.createDataFrame(rows, "spans array<struct<s:int,k:int,e:int>>, s int, e int")
+    for r in df.withColumn("over", pii.over(F.col("spans"), F.col("s"), F.col("e"))).collect():
+        assert r["over"] == any(x["s"] < r["e"] and x["e"] > r["s"] for x in r["spans"])
