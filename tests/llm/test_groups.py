@@ -9,6 +9,7 @@ import cases
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tradewind.llm import linededup, links, sharding, simhash, substrings
 from tradewind.llm.components import components
@@ -321,3 +322,21 @@ def test_short_fuzzy_passages_and_neighbours(spark):
     text = dict(docs)
     got = sorted(text[r["doc_id"]][r["start"]:r["end"]].split() for r in rows if r["doc_id"] == 1001)
     assert got == sorted([p, q])
+
+
+def test_a_word_said_over_and_over_is_one_place(spark):
+    rng = random.Random(8)
+    own = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passage = own(55)
+    docs = [(1, f"{own(70)} {passage} {own(70)}"),
+            (2, f"{own(30)} {passage} {own(20)} {passage} {own(30)} {passage}"),
+            (3, own(80) + " it" * 400), (4, own(20) + " it" * 300 + " " + own(9))]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    found = substrings.repeated(rows).collect()
+    twice = {(r["start"], r["end"]) for r in found if r["doc_id"] == 2 and r["other_id"] == 1}
+    text = docs[1][1]
+    assert twice == {(m.start(), m.end()) for m in re.finditer(re.escape(passage), text)}
+    assert any((r["doc_id"], r["other_id"]) == (4, 3) for r in found)
+    held = rows.select(F.col("doc_id").alias("doc"), substrings.packed("text").alias("data"))
+    places = substrings.seed_table(held).filter("doc = 3").groupBy("key").count()
+    assert places.agg(F.max("count")).first()[0] == 8  # 396 places, one in 50 words
