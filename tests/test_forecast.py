@@ -166,6 +166,20 @@ def test_recursive_forecast(run):
         sum(r["forecast_gmv"] for r in days))
 
 
+def test_steps_do_not_share_a_stage(run, monkeypatch):
+    """Each Python step in a stage holds a worker of its own in every task."""
+    plans, settled = [], R.settled
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settled(df, name)
+
+    monkeypatch.setattr(R, "settled", watched)
+    plans.append(R.forecast(run.spine, run.model, 4)._jdf.queryExecution().executedPlan().toString())
+    assert max(p.count("ArrowEvalPython") for p in plans) == 1
+    assert sum(p.count("ArrowEvalPython") for p in plans) == 4
+
+
 def test_forecast_equals_full_recomputation(run, daily):
     """Appending each predicted day to the history and recomputing all features
     gives the same path."""

@@ -2,7 +2,9 @@
 
 Steps follow one another, series are independent. The state of a series is one
 row: its last 28 GMV values and last 7 order and customer counts as arrays. A
-step is a narrow projection over all series; nothing is shuffled.
+step is a narrow projection over all series; nothing is shuffled. The state is written
+after every step: steps in one stage would each hold a Python worker of their own in
+every task.
 """
 
 from __future__ import annotations
@@ -98,7 +100,7 @@ def rejects(spine: DataFrame, window: int = 90) -> DataFrame:
 
 
 def forecast(
-    spine: DataFrame, model, horizon: int = 30, window: int = 90, settle_every: int = 5
+    spine: DataFrame, model, horizon: int = 30, window: int = 90
 ) -> DataFrame:
     """(series, order_date, forecast_step, forecast_gmv, forecast_orders,
     forecast_daily_unique_customers) for the days after the last one.
@@ -129,13 +131,11 @@ def forecast(
         "made": F.concat("made", F.array(entry)),
     }
     advance = [column.alias(k) for k, column in following.items()]
-    for step in range(1, horizon + 1):
+    for _ in range(horizon):
         scored = model.transform(vector.transform(state.select(*read)))
-        state = (
+        state = settled(
             scored.select(*kept, gmv).select("*", orders).select("*", customers)
-            .select(*advance))
-        if step % settle_every == 0 and step < horizon:
-            state = settled(state, "forecast-state")
+            .select(*advance), "forecast-state")
     return state.select("series", F.inline("made")).select(
         "series",
         F.col("day").alias("order_date"),
