@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -100,6 +101,28 @@ def test_both_ways_grow_the_same_trees(rows, monkeypatch):
         assert (near.split[split] == far.split[split]).all()
 
 
+def test_a_task_holds_few_trees_of_many_rows(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins, y, _ = data(3, 400)
+    part = pd.DataFrame({"key": rng.integers(-2 ** 62, 2 ** 62, 400), "y": y, "bins": [b.tobytes() for b in bins]})
+    job, held, plain = forest.Job(0, 2, 5, 25, 3), [], forest.drawn
+    whole = forest.grow(bins, y, plain(part["key"].to_numpy(), np.arange(5, 25), 7), 3, 2, BINS)
+    scores = whole.sums(bins, [1, 3])
+
+    def watched(rows, trees, seed):
+        held.append(len(rows) * len(trees))
+        return plain(rows, trees, seed)
+
+    monkeypatch.setattr(forest, "drawn", watched)
+    monkeypatch.setattr(forest, "DRAWS", 1500)
+    found = forest._grown(job, part, 7, BINS)
+    assert max(held) <= 1500 and sum(held) == 20 * 400
+    for name, values in vars(whole).items():
+        assert (vars(found)[name] == values).all()
+    again = found.sums(bins, [1, 3])
+    assert all((again[d] == scores[d]).all() for d in scores)
+
+
 def test_grid_scores_equal_single_forests(rows, monkeypatch):
     monkeypatch.setattr(forest, "TREES_A_TASK", 3)
     sizes, depths, leaves = [2, 5], [2, 4], [1, 6]

@@ -12,7 +12,7 @@ a whole grid small:
 
 What remains is one forest per fold and leaf size. Up to `LOCAL_ROWS` rows, blocks of trees
 are the unit: the rows of a fold are dealt to each block by one shuffle, and a task grows its
-block with numpy. Beyond it rows are the unit: each level is one grouped aggregation
+block with numpy, as many trees at a time as `DRAWS` allows. Beyond it rows are the unit: each level is one grouped aggregation
 over all trees, and the driver holds the splits found so far (trees times nodes, whatever
 the number of rows). Both give the same trees: labels are whole hundredths, so sums are exact
 in any order, and ties go to the first feature, then the lowest bin.
@@ -35,6 +35,7 @@ UNIT = 100.0  # labels are held in hundredths
 LOCAL_ROWS = 500_000
 TREES_A_TASK = 100
 CELLS = 1 << 22  # histogram cells of one pass over the rows
+DRAWS = 1 << 20  # (tree, row) pairs that a task holds at a time, or one tree's rows if they are more
 MOST_DEPTH = 14
 ACCURACY = 20_000
 MILLI = 1000.0  # predictions are summed in thousandths of a unit: exact in any order
@@ -120,6 +121,10 @@ class Trees:
 
     def sums(self, bins: np.ndarray, depths: list[int]) -> dict[int, np.ndarray]:
         """Predictions of each row at each depth, added over the trees."""
+        a_time = max(1, DRAWS // max(1, len(self.feature)))
+        if len(bins) > a_time:
+            parts = [self.sums(bins[i:i + a_time], depths) for i in range(0, len(bins), a_time)]
+            return {depth: np.concatenate([p[depth] for p in parts]) for depth in depths}
         tree, out, at = np.arange(len(self.feature))[:, None], {}, self.nodes(bins, max(depths))
         for depth in depths:
             up = at.copy()
@@ -246,6 +251,19 @@ def _sums(job: Job, trees: Trees, rows: pd.DataFrame, depths: list[int]) -> pd.D
         "s": np.rint(sums * MILLI).astype(np.int64)}) for depth, sums in found.items()])
 
 
+def _grown(job: Job, rows: pd.DataFrame, seed: int, width: int) -> Trees:
+    """The job's trees over its rows; trees do not depend on each other."""
+    key, bins, y = rows["key"].to_numpy(np.int64), matrix(rows["bins"]), rows["y"].to_numpy()
+    a_time = max(1, DRAWS // max(1, len(key)))
+    parts = [grow(bins, y, drawn(key, np.arange(first, min(first + a_time, job.last)), seed), job.depth, job.leaf, width)
+             for first in range(job.first, job.last, a_time)]
+    return _joined(parts)
+
+
+def _joined(parts: list[Trees]) -> Trees:
+    return Trees(*[np.concatenate([vars(p)[k] for p in parts]) for k in vars(parts[0])])
+
+
 def _local(rows: DataFrame, jobs: list[Job], seed: int, width: int, depths: list[int] | None) -> DataFrame:
     """Blocks of trees as tasks: the trees, or the scores of the unseen rows at `depths`."""
     by_number = {j.number: j for j in jobs}
@@ -253,9 +271,7 @@ def _local(rows: DataFrame, jobs: list[Job], seed: int, width: int, depths: list
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         job = by_number[key[0]]
         part = part.sort_values("key")  # sums are exact in any order; this keeps memory access alike
-        seen = part[part["known"]]
-        w = drawn(seen["key"].to_numpy(np.int64), np.arange(job.first, job.last), seed)
-        trees = grow(matrix(seen["bins"]), seen["y"].to_numpy(), w, job.depth, job.leaf, width)
+        trees = _grown(job, part[part["known"]], seed, width)
         if depths is None:
             return pd.DataFrame([_packed(job, trees)], columns=["job", "feature", "split", "value", "gain"])
         return _sums(job, trees, part[~part["known"]], depths)
@@ -382,7 +398,7 @@ def fit(rows: DataFrame, trees: int, depth: int, leaf: int, seed: int, max_bins:
         parts = [_unpacked(j, found[j.number]) for j in jobs]
     else:
         parts = _distributed(ready, jobs, seed, max_bins)
-    return edges, Trees(*[np.concatenate([vars(p)[k] for p in parts]) for k in vars(parts[0])])
+    return edges, _joined(parts)
 
 
 def fold_errors(rows: DataFrame, folds: list, sizes: list[int], depths: list[int], leaves: list[int],
