@@ -145,6 +145,15 @@ def test_links_reach_all_holders(spark):
     assert all(r["partner_at"] == r["partner"] * 10 for r in found)
 
 
+def test_few_holders_are_linked_in_all_pairs(spark):
+    rows = [(1, d, d) for d in range(8)] + [(2, d, d) for d in range(9)] + [(3, 5, 0), (4, 1, 7), (4, 6, 8)]
+    occurrences = spark.createDataFrame(rows, "key long, doc long, at long")
+    found = [tuple(r) for r in links.linked(occurrences, few=8).collect()]
+    assert sorted(found) == sorted(
+        [(1, 8, d, d, p, p) for d in range(8) for p in range(d)] +
+        [(2, 9, d, d, d - 1, d - 1) for d in range(1, 9)] + [(4, 2, 6, 8, 1, 7)])
+
+
 def test_patience():
     assert linededup.aligned(list("abcdef"), list("xbcyef")) == [(1, 1), (2, 2), (4, 4), (5, 5)]
     assert linededup.aligned(list("aab"), list("aab")) == [(0, 0), (1, 1), (2, 2)]
@@ -324,6 +333,28 @@ def test_short_fuzzy_passages_and_neighbours(spark):
     assert got == sorted([p, q])
 
 
+@pytest.mark.parametrize("parts", [1, 12])
+def test_a_passage_whose_parts_stand_nearer_elsewhere(spark, parts):
+    rng = random.Random(21)
+    make = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    docs, n = [], 2 * parts + 2
+    for i in range(10):  # the first and the last document hold the passage, the others a part each
+        p, base = make(62), 100 * i
+        held = [p, *[p[:36] if k % 2 else p[26:] for k in range(2 * parts)], p]
+        docs += [(base + k, " ".join(make(40) + x + make(40))) for k, x in enumerate(held)]
+    rows = substrings.repeated(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in rows} == {(100 * i + n - 1, 100 * i) for i in range(10)}
+
+
+def test_few_documents_with_a_passage_give_all_pairs(spark):
+    rng = random.Random(22)
+    make = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    p = make(70)
+    docs = [(i, " ".join(make(40) + p + make(40))) for i in range(5)]
+    rows = substrings.repeated(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in rows} == {(a, b) for a in range(5) for b in range(a)}
+
+
 def test_a_word_said_over_and_over_is_one_place(spark):
     rng = random.Random(8)
     own = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
