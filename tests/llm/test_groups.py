@@ -371,3 +371,73 @@ def test_a_word_said_over_and_over_is_one_place(spark):
     held = rows.select(F.col("doc_id").alias("doc"), substrings.packed("text").alias("data"))
     places = substrings.seed_table(held).filter("doc = 3").groupBy("key").count()
     assert places.agg(F.max("count")).first()[0] == 8  # 396 places, one in 50 words
+
+
+def test_every_holder_has_rows_of_its_own(spark):
+    rng = random.Random(23)
+    make = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    p = make(60)
+    docs = [(i, " ".join(make(40) + p + make(40))) for i in range(8)] + [(20, " ".join(make(140)))]
+    docs += [(30, docs[-1][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = [tuple(r) for r in substrings.report(df).collect()]
+    assert {r[0] for r in rows} == {*range(8), 20, 30}
+    assert sorted((*r[3:6], *r[:3], *r[6:]) for r in rows) == sorted(rows)  # in both directions
+    once = [tuple(r) for r in substrings.repeated(df).collect()]
+    assert len(rows) == 2 * len(once) and set(once) < set(rows)
+    text = dict(docs)
+    assert all(text[r[0]][r[1]:r[2]] == text[r[3]][r[4]:r[5]] for r in rows)
+
+
+def test_bounds_before_alignment_lose_nothing():
+    rng = random.Random(24)
+    found = 0
+    for _ in range(600):
+        words = rng.choice([4, 30, 10**6])
+        a = [f"w{rng.randrange(words)}" for _ in range(rng.randint(50, 90))]
+        b = []
+        for x in a:
+            how = rng.random() / rng.choice([0.1, 0.2, 0.3])
+            b += [] if how < 0.3 else ["other"] if how < 0.6 else [x, "more"] if how < 1 else [x]
+        good = substrings.similar(substrings.align(a, b, []))
+        found += bool(good)
+        assert substrings.may_hold(a, b) or not good
+    assert found > 100
+    assert not substrings.may_hold(a, a[::-1])  # the same words in another order
+
+
+def test_alignment_against_a_table():
+    rng = random.Random(25)
+    for _ in range(400):
+        a, b = ([rng.choice("abcdef") for _ in range(rng.randint(0, 30))] for _ in "ab")
+        table = [[0] * (len(b) + 1)]
+        for x in a:
+            row = [0]
+            for n, y in enumerate(b):
+                row.append(table[-1][n] + 1 if x == y else max(table[-1][n + 1], row[n]))
+            table.append(row)
+        found = substrings.common(a, b)
+        assert len(found) == table[-1][-1] and all(a[i] == b[j] for i, j in found)
+        assert all(p < q and r < s for (p, r), (q, s) in zip(found, found[1:], strict=False))
+
+
+def test_seeds_that_meet_in_arrays(spark):
+    from tradewind.llm.frames import ship
+
+    ship(spark)
+    rng = random.Random(26)
+    docs = [(i << 31, " ".join(rng.choice(["it", "is", f"w{rng.randrange(9)}", f"w{rng.randrange(999)}"])
+                               for _ in range(rng.choice([20, 60, 400])))) for i in range(60)]
+    held = spark.createDataFrame(docs, "doc long, text string").select("doc", substrings.packed("text").alias("data"))
+    rows = [tuple(r) for r in substrings.seed_table(held).collect()]
+    n = Counter(key for key, _, _, again in rows if not again)
+    assert sorted(map(tuple, substrings.shared_seeds(held).collect())) == sorted(
+        (key, n[key], *r) for key, *r in rows if n[key] > 1)
+    for _, text in docs:  # the least of all windows, one by one
+        words = text.split()
+        if len(words) < substrings.MIN_WORDS:
+            continue
+        runs = substrings.rolling(substrings.hashes(words), substrings.K)
+        want = {i for i, x in enumerate(runs) if x < 2**64 // substrings.EVERY}
+        want |= {i + int(runs[i:i + substrings.WINDOW].argmin()) for i in range(len(runs) - substrings.WINDOW + 1)}
+        assert set(substrings.seeds([words, words])[1].tolist()) == want
