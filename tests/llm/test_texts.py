@@ -207,3 +207,16 @@ def test_lm_join_path(spark, monkeypatch):
     whole = score()
     monkeypatch.setattr(lm, "FREQUENT", 3)
     assert score() == whole
+
+
+def test_a_batch_without_padding_has_the_same_gradient():
+    """Windows of padding alone add nothing, and the batch without them takes the short way."""
+    rng = np.random.default_rng(3)
+    w = attention.initial()
+    rows, goal = rng.integers(0, attention.INPUTS, (20, 16)), rng.integers(0, attention.CLASSES, (20, 16))
+    padded = np.concatenate([goal, np.full((5, 16), -1)])
+    whole = attention.gradient(w, rows, goal)
+    mixed = attention.gradient(w, np.concatenate([rows, rows[:5]]), padded)
+    assert all(np.allclose(whole[k], mixed[k], atol=1e-5) for k in attention.SHAPES)
+    seen, over = (attention.class_odds(w, np.ones((4, attention.DIM + 1), np.float32), x)[1] for x in (False, True))
+    assert (seen == over).all()

@@ -124,11 +124,11 @@ def forward(w: dict[str, np.ndarray], rows: np.ndarray):
     return x, q, k, v, a, total, o, h
 
 
-def class_odds(w: dict[str, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(logits, exp of them)."""
+def class_odds(w: dict[str, np.ndarray], h: np.ndarray, over: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(logits, exp of them); `over`: the exp is written over the logits."""
     z = h @ w["head"]
     np.minimum(z, LARGEST, out=z)
-    return z, np.exp(z)
+    return z, np.exp(z, out=z if over else None)
 
 
 def score(w: dict[str, np.ndarray], coding: Coding, texts: list[np.ndarray], end: int,
@@ -154,13 +154,14 @@ def gradient(w: dict[str, np.ndarray], rows: np.ndarray, goal: np.ndarray) -> di
     x, q, k, v, a, total, o, h = forward(w, rows)
     a /= total
     live = goal >= 0
-    seen = h[live]
-    dz = class_odds(w, seen)[1]
+    every = bool(live.all())  # most batches have no padding
+    seen = h.reshape(-1, DIM + 1) if every else h[live]
+    dz = class_odds(w, seen, over=True)[1]
     dz /= dz.sum(axis=1, keepdims=True)
     dz[np.arange(len(dz)), goal[live]] -= 1
     dz /= max(1, len(dz))
     dh = np.zeros_like(x)
-    dh[live] = dz @ w["head"][:DIM].T
+    dh[slice(None) if every else live] = (dz @ w["head"][:DIM].T).reshape(x.shape if every else (-1, DIM))
     flat_dh = dh.reshape(-1, DIM)
     do = (flat_dh @ w["out"].T).reshape(o.shape)
     ds = np.matmul(do, v.transpose(0, 2, 1))
@@ -171,7 +172,7 @@ def gradient(w: dict[str, np.ndarray], rows: np.ndarray, goal: np.ndarray) -> di
                            np.matmul(a.transpose(0, 2, 1), do)], axis=2).reshape(-1, 3 * DIM)
     dx = dh + (dqkv @ w["qkv"].T).reshape(x.shape)
     at = rows.ravel()
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.int16), kind="stable")  # INPUTS < 2^15: sorted by digits
     starts = np.flatnonzero(np.diff(at[order], prepend=-1))
     embed = np.zeros_like(w["embed"])
     embed[at[order][starts]] = np.add.reduceat(dx.reshape(-1, DIM)[order], starts, axis=0)

@@ -105,13 +105,15 @@ def based(docs: DataFrame, counts: DataFrame, end_count: int, ranks: bytes, patt
         for block in blocks(batches):
             rows = []
             for doc_id, held_out, text in block.itertuples(index=False):
-                found = words(text)
-                logs = [value.get(w) for w in found]
-                rare = [w for w, x in zip(found, logs, strict=True) if x is None]
-                low = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "replace")
-                rows.append((doc_id, held_out, encode(low).astype("<u4").tobytes(), len(found) + 1,
-                             len(found) - len(rare) + (end_count > 0),
-                             ending + math.fsum(x for x in logs if x is not None), rare))
+                low = text.encode("utf-8", "surrogatepass").lower()
+                found = low.split()
+                logs, rare = list(map(value.get, found)), []
+                if None in logs:
+                    rare = [w for w, x in zip(found, logs, strict=True) if x is None]
+                    logs = [x for x in logs if x is not None]
+                ids = encode(low.decode("utf-8", "replace"))
+                rows.append((doc_id, held_out, ids.astype("<u4", copy=False).tobytes(), len(found) + 1,
+                             len(logs) + (end_count > 0), ending + math.fsum(logs), rare))
             yield pd.DataFrame(rows, columns=["doc_id", "held_out", "ids", "n_tokens", "n_known",
                                               "log_sum", "rare"])
 
