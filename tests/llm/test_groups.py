@@ -441,3 +441,17 @@ def test_seeds_that_meet_in_arrays(spark):
         want = {i for i, x in enumerate(runs) if x < 2**64 // substrings.EVERY}
         want |= {i + int(runs[i:i + substrings.WINDOW].argmin()) for i in range(len(runs) - substrings.WINDOW + 1)}
         assert set(substrings.seeds([words, words])[1].tolist()) == want
+
+
+def test_links_of_keys_with_known_numbers(spark):
+    """The same links whether the numbers of documents come along or are counted."""
+    rows = [(1, d, d) for d in range(40)] + [(2, d, 9) for d in range(3)] + [(3, d, 1) for d in range(0, 30, 2)]
+    rows += [(4, 1, 1), (4, 6, 2)]
+    plain = spark.createDataFrame(rows, "key long, doc long, at long")
+    n = Counter(r[0] for r in rows)
+    known = spark.createDataFrame([(k, n[k], d, a) for k, d, a in rows], "key long, n long, doc long, at long")
+    for few in (2, 5):
+        want = sorted(map(tuple, links.linked(plain, spread=8, few=few).collect()))
+        found = links.linked(known, spread=8, few=few)
+        assert found.columns == ["key", "n", "doc", "at", "partner", "partner_at"]
+        assert sorted(map(tuple, found.collect())) == want and len(want) > 50
